@@ -168,7 +168,8 @@ def test_ranges_are_balanced_and_ordered(spark):
         F.count("*").alias("n"), F.min("seq_num").alias("lo"), F.max("seq_num").alias("hi")
     )
     rows = sorted(sizes.collect())
-    assert len(rows) == 20 and max(r.n for r in rows) <= 100
+    assert len(rows) == ranges.count >= 20 and ranges.count % ranges.partitions == 0
+    assert max(r.n for r in rows) <= 100
     assert all(a.hi < b.lo for a, b in zip(rows, rows[1:]))
 
 

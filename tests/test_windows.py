@@ -35,8 +35,9 @@ def test_panes_equal_plain_sliding_windows(spark):
     plain = (
         quote_messages(messages)
         .groupBy(F.window("time", "10 seconds", "2 seconds"))
-        .agg(F.count("*").alias("n"), F.max(F.when(F.expr(
-            "action in ('add', 'update') and side = 'BUY'"), F.col("price"))).alias("bid_price"))
+        .agg(
+            F.count("*").alias("n"), F.max(F.when(F.col("is_bid"), F.col("price"))).alias("bid_price")
+        )
     )
     want = {r["window"]["start"]: (r["bid_price"], r["n"]) for r in plain.collect()}
     got = {r["window_start"]: (r["bid_price"], r["n"]) for r in panes.collect()}

@@ -51,12 +51,6 @@ def l3_messages(
     )
 
 
-def quote_messages(l3: DataFrame, key_cols: Sequence[str] = ()) -> DataFrame:
-    """What the quote depends on: adds and updates in one shape, any other row by its time."""
-    messages = l3 if "action" in l3.columns else l3_messages(l3, key_cols, ("add", "update"))
-    return messages.select(*key_cols, "seq_num", "time", "action", "side", "price", "qty")
-
-
 def is_number(price: Column) -> Column:
     """False for null and NaN, which sort below and above every price."""
     return price.isNotNull() & ~F.isnan(price)
@@ -71,6 +65,19 @@ def is_quote() -> Column:
     )
 
 
+def quote_messages(l3: DataFrame, key_cols: Sequence[str] = ()) -> DataFrame:
+    """What the quote depends on: (keys, seq_num, time, is_bid, price, qty).
+
+    ``is_bid`` is true for a bid, false for an ask and null for a row that quotes nothing.
+    Columns of deletes and trades are not read, and only these few are shuffled.
+    """
+    messages = l3 if "action" in l3.columns else l3_messages(l3, key_cols, ("add", "update"))
+    quoted = {"is_bid": F.col("side") == BUY, "price": F.col("price"), "qty": F.col("qty")}
+    return messages.select(
+        *key_cols, "seq_num", "time", *[F.when(is_quote(), c).alias(k) for k, c in quoted.items()]
+    )
+
+
 def two_sided() -> Column:
     """Both prices positive; an empty side is null and does not pass."""
     bid, ask = F.col("bid_price"), F.col("ask_price")

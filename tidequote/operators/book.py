@@ -231,7 +231,7 @@ def full_book(
         ]
     )
     quotes = (
-        rows.repartition(ranges.partitions, *group)
+        ranges.place(rows)
         .groupBy(*group)
         .applyInPandas(range_quotes(keys), result)
         .select(

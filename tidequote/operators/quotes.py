@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidequote.functions.messages import (
     is_number,
-    is_quote,
     l3_messages,
     quote_messages,
     two_sided,
@@ -17,7 +16,7 @@ from tidequote.functions.messages import (
 from tidequote.operators.book import full_book
 from tidequote.operators.ranges import SeqRanges, plan_ranges
 from tidequote.operators.scan import Running, scan
-from tidequote.schema import BUY, SELL
+from tidequote.schema import BUY
 
 MODES = ("best_quote", "event_quote", "as_coded", "full_book")
 
@@ -37,14 +36,14 @@ def _ask(when: Column, price: Column, qty: Column) -> Column:
 
 def quote_state(mode: str = "best_quote") -> list[Running]:
     """What a quote depends on: best bid, best ask and, by event, the last quoting message."""
-    side, price, qty = F.col("side"), F.col("price"), F.col("qty")
+    is_bid, price, qty = F.col("is_bid"), F.col("price"), F.col("qty")
     state = [
-        Running("bid", F.max, _bid(is_quote() & (side == BUY), price, qty)),
-        Running("ask", F.min, _ask(is_quote() & (side == SELL), price, qty)),
+        Running("bid", F.max, _bid(is_bid, price, qty)),
+        Running("ask", F.min, _ask(~is_bid, price, qty)),
     ]
     if mode == "event_quote":
-        last = F.struct("seq_num", "side", "price", "qty")
-        state.append(Running("last", F.max, F.when(is_quote(), last)))
+        last = F.struct("seq_num", "is_bid", "price", "qty")
+        state.append(Running("last", F.max, F.when(is_bid.isNotNull(), last)))
     return state
 
 
@@ -64,14 +63,13 @@ def _book_quote() -> dict[str, Column]:
 def _event_quote() -> dict[str, Column]:
     # Between quoting messages neither side moves, so the last quote is the last quoting
     # message on its own side and today's best on the other.
-    def own(side: str, field: str, best: str) -> Column:
-        return F.when(F.col("last.side") == side, F.col(f"last.{field}")).otherwise(F.col(best))
-
+    own_bid = F.col("last.is_bid")
+    own_price, own_qty = F.col("last.price"), F.col("last.qty")
     return {
-        "bid_price": own(BUY, "price", "bid.price"),
-        "ask_price": own(SELL, "price", "ask.price"),
-        "bid_size": own(BUY, "qty", "bid.qty"),
-        "ask_size": own(SELL, "qty", "ask.qty"),
+        "bid_price": F.when(own_bid, own_price).otherwise(F.col("bid.price")),
+        "ask_price": F.when(~own_bid, own_price).otherwise(F.col("ask.price")),
+        "bid_size": F.when(own_bid, own_qty).otherwise(F.col("bid.qty")),
+        "ask_size": F.when(~own_bid, own_qty).otherwise(F.col("ask.qty")),
     }
 
 
@@ -143,5 +141,12 @@ def l3_to_l1(
         return _emit(full_book(messages, key_cols, ranges), _book_quote(), key_cols)
     messages = quote_messages(l3, key_cols)
     ranges = ranges or plan_ranges(messages, key_cols=key_cols)
-    rows = scan(messages, quote_state(mode), ranges, key_cols=key_cols, opening=opening)
+    rows = scan(
+        messages,
+        quote_state(mode),
+        ranges,
+        key_cols=key_cols,
+        opening=opening,
+        moves=F.col("is_bid").isNotNull(),
+    )
     return _emit(rows, _event_quote() if mode == "event_quote" else _best_quote(), key_cols)

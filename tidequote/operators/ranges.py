@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import json
 import math
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ MIN_ROWS_TO_CUT = 1024
 SAMPLES_PER_RANGE = 32
 MAX_HOT_KEYS = 1000
 HOT_KEY_SAMPLE = 1 << 20
+MAX_COMPARES = 4
 LONG_MAX = (1 << 63) - 1
 
 
@@ -65,20 +67,48 @@ class SeqRanges:
         return F.xxhash64(*self.key_cols).isin(list(self.hot_keys))
 
     def range_of(self, order_col: str) -> Column:
-        """Index of the row's range: a binary search over the literal cut points."""
+        """Index of the row's range: how many cut points are at or below its order value.
+
+        A directory of equal-width cells leads to the few cut points that need comparing.
+        """
         if not self.is_split:
             return F.lit(0)
-        seq = F.col(order_col)
-        cuts = F.from_json(F.lit(json.dumps(self.cuts)), "array<bigint>")
-        steps = [1 << i for i in reversed(range(len(self.cuts).bit_length()))]
-        at = F.aggregate(
-            F.array(*[F.lit(s) for s in steps]),
-            F.lit(0),
-            lambda pos, step: F.when(F.get(cuts, pos + step - 1) <= seq, pos + step).otherwise(pos),
-        )
+        seq, cuts = F.col(order_col), _literal(self.cuts, "bigint")
+        low, high = self.cuts[0], self.cuts[-1]
+        shift = max(0, (high - low).bit_length() - self.count.bit_length())
+        if high - low <= LONG_MAX:
+            starts = range(low, high + 1, 1 << shift)
+            skipped = [bisect_left(self.cuts, s) for s in starts]
+            cell = F.shiftright(F.greatest(F.least(seq, F.lit(high)), F.lit(low)) - low, shift)
+            first = F.get(_literal(skipped, "int"), cell.cast("int"))
+            longest = max(b - a for a, b in pairwise([*skipped, len(self.cuts)]))
+        else:
+            first, longest = F.lit(0), len(self.cuts)
+        if longest <= MAX_COMPARES:
+            at = first
+            for i in range(longest):
+                at = at + F.when(F.get(cuts, first + i) <= seq, 1).otherwise(0)
+        else:
+            steps = [1 << i for i in reversed(range(longest.bit_length()))]
+            at = F.aggregate(
+                F.array(*[F.lit(s) for s in steps]),
+                first,
+                lambda at, step: F.when(F.get(cuts, at + step - 1) <= seq, at + step).otherwise(at),
+            )
         at = F.when(seq.isNull(), F.lit(NULL_RANGE)).otherwise(at)
         return F.when(self.key_is_split(), at).otherwise(F.lit(0)) if self.key_cols else at
 
+    def place(self, df: DataFrame) -> DataFrame:
+        """Shuffle rows that carry ``RANGE`` so that each (keys, range) is in one partition."""
+        if self.key_cols:
+            return df.repartition(self.partitions, *self.key_cols, RANGE)
+        return df.repartitionById(self.partitions, RANGE)
+
+
+def _literal(values: Sequence[float], kind: str) -> Column:
+    """A constant array; one string literal instead of one expression per element."""
+    return F.from_json(F.lit(json.dumps(list(values))), f"array<{kind}>")
+
 
 def _hot_keys(df: DataFrame, key_cols: Sequence[str], rows: int, rows_per_range: int) -> tuple:
     """Hashes of keys with more than a range's worth of rows; a false hit is harmless."""
@@ -98,7 +128,7 @@ def _hot_keys(df: DataFrame, key_cols: Sequence[str], rows: int, rows_per_range:
 def _cuts(df: DataFrame, order_col: str, ranges: int, rows: int) -> tuple[list[int], bool]:
     """``ranges - 1`` sampled quantiles, and whether nulls alone would fill a range."""
     share = min(1.0, SAMPLES_PER_RANGE * ranges / rows)
-    points = F.from_json(F.lit(json.dumps([i / ranges for i in range(1, ranges)])), "array<double>")
+    points = _literal([i / ranges for i in range(1, ranges)], "double")
     found = (
         df.select(F.col(order_col).cast("long").alias("seq"))
         .sample(share, seed=7)
@@ -131,6 +161,8 @@ def plan_ranges(
     partitions = min(
         MAX_PARTITIONS, max(min(shuffle, ranges), math.ceil(ranges / RANGES_PER_PARTITION))
     )
+    # The same number of ranges for every partition.
+    ranges = math.ceil(ranges / partitions) * partitions
     keys = tuple(key_cols)
     hot_keys = ()
     if keys and rows > rows_per_range:

@@ -35,10 +35,12 @@ class Running:
     before: bool = False
 
 
-def summarise(df: DataFrame, running: Sequence[Running], by: Sequence[str]) -> DataFrame:
-    """One row per group, combined on the map side; rows that add nothing are left out early."""
-    adds = reduce(lambda a, b: a | b, [r.value.isNotNull() for r in running])
-    return df.where(adds).groupBy(*by).agg(*[r.fold(r.value).alias(r.name) for r in running])
+def summarise(
+    df: DataFrame, running: Sequence[Running], by: Sequence[str], moves: Column | None = None
+) -> DataFrame:
+    """One row per group, combined on the map side; rows that do not pass ``moves`` add nothing."""
+    rows = df if moves is None else df.where(moves)
+    return rows.groupBy(*by).agg(*[r.fold(r.value).alias(r.name) for r in running])
 
 
 def _frame(window: WindowSpec, before: bool) -> WindowSpec:
@@ -71,12 +73,14 @@ def scan(
     order_col: str = "seq_num",
     key_cols: Sequence[str] = (),
     opening: DataFrame | None = None,
+    moves: Column | None = None,
     placed: bool = False,
 ) -> DataFrame:
     """``df`` plus one column per running aggregate.
 
     ``opening`` (keys and one column per aggregate) is the state before the first row.
-    ``placed`` says that ``df`` is already partitioned by its keys.
+    ``moves`` is false only for rows on which every value is null. ``placed`` says that
+    ``df`` is already partitioned by its keys.
     """
     keys = list(key_cols)
     group = [*keys, RANGE]
@@ -84,7 +88,7 @@ def scan(
     carries, hot_rows = [], None
 
     if ranges.is_split:
-        parts = summarise(rows.where(ranges.key_is_split()), running, group)
+        parts = summarise(rows.where(ranges.key_is_split()), running, group, moves)
         if opening is not None:
             held = opening.where(ranges.key_is_split()).withColumn(RANGE, F.lit(OPENING_RANGE))
             parts = parts.unionByName(held)
@@ -111,7 +115,9 @@ def scan(
     for carry in carries:
         rows = rows.unionByName(_as_carry(carry, running, group), allowMissingColumns=True)
     if ranges.is_split:
-        rows = rows.repartition(ranges.partitions, *group)
+        # One long column sorts by radix; the window's own sort, which has to put the range
+        # in front, then finds the rows in order.
+        rows = ranges.place(rows).sortWithinPartitions(order_col)
     elif keys and (carries or not placed):
         rows = rows.repartition(ranges.partitions, *keys)
     # Chosen after the shuffle, so that only plain columns and the few carries travel.

@@ -34,7 +34,9 @@ def l3_from_events(events: DataFrame, ranges: SeqRanges | None = None) -> DataFr
         F.max,
         F.when(add_side.isNotNull(), F.struct(F.col("event_id").alias("id"), add_side.alias("side"))),
     )
-    linked = scan(tagged, [order], ranges, "event_id", ["user_id"])
+    linked = scan(
+        tagged, [order], ranges, "event_id", ["user_id"], moves=F.col("event_type").isin(*ADD_SIDE)
+    )
     offset = F.floor("value")
     fields = {
         "order_id": F.col("order.id"),

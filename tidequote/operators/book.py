@@ -174,7 +174,9 @@ def full_book(
     opening, hot_quotes = None, None
 
     if ranges.is_split:
-        touched = moves.where(ranges.key_is_split()).groupBy(*group, "side", "price")
+        # The null check is there for both uses of the levels to share one shuffle.
+        touched = moves.where(ranges.key_is_split() & F.col("side").isNotNull())
+        touched = touched.groupBy(*group, "side", "price")
         in_order = Window.partitionBy(*keys, "side", "price").orderBy(RANGE)
         levels = (
             touched.agg(F.sum("amount").alias("amount"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidequote import L1_SCHEMA, L3_SCHEMA, l3_messages, l3_to_l1
-from tidequote.functions.text import partitions_for, row_text, total_bytes
+from tidequote.functions.text import partitions_for, row_text, time_text, total_bytes
 from tidequote.operators.sizing import output_partitions, output_size, payload_bytes, spread
 from tidequote.sinks.files import write_batch_csv, write_by_date, write_csv
 from tidequote.sources.files import cast_to, read_csv, read_csv_text
@@ -95,6 +95,23 @@ def test_times_keep_microseconds(spark, tmp_path):
     assert back.agg(F.min("time")).first()[0] == datetime(2021, 8, 3, 1, 0, 1, 107502)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_time_text_in_every_zone(spark, zone):
+    texts = [
+        "2021-08-02 22:11:21.94404 UTC",
+        "2021-11-07 05:30:00 UTC",
+        "2021-11-07 06:30:00 UTC",
+        "1969-12-31 23:59:59.999999 UTC",
+        "2200-01-01 00:00:00.000001 UTC",
+    ]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        assert [r[0] for r in df.select(time_text(F.col("t").cast("timestamp"))).collect()] == texts
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_write_replaces_and_has_n_files(spark, tmp_path):
     path = tmp_path / "out"
     df = spark.range(1000).select(F.col("id").alias("seq_num"))

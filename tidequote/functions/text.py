@@ -10,8 +10,14 @@ MIB = 1048576
 
 
 def time_text(time: Column) -> Column:
-    """The feed's own form: ``2021-08-02 22:11:21.94404 UTC``, fraction without trailing zeros."""
-    return F.concat(time.cast("string"), F.lit(" "), F.current_timezone())
+    """The feed's own form: ``2021-08-02 22:11:21.94404 UTC``, fraction without trailing zeros.
+
+    The same in every session time zone.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = (F.unix_micros(time).cast("decimal(20,0)") / 1000000).cast("decimal(18,6)")
+    utc = epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.concat(utc.cast("string"), F.lit(" UTC"))
 
 
 def _as_written(df: DataFrame) -> list[Column]:

@@ -140,9 +140,9 @@ def test_continuous_equals_batch_when_files_come_in_order(spark, tmp_path, mode)
 
 
 def test_modes_without_a_carried_state_are_refused(spark, tmp_path):
-    opts = options(tmp_path, write_feed(tmp_path / "in", LATE_FILES), continuous=True, mode="full_book")
-    with pytest.raises(Exception, match="full_book"):
-        finish(spark, opts)
+    opts = options(tmp_path, str(tmp_path), continuous=True, mode="full_book")
+    with pytest.raises(ValueError, match="full_book"):
+        run_stream(spark, opts)
 
 
 def test_windows_drop_late_rows_and_wait_for_the_watermark(spark, tmp_path):

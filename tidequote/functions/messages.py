@@ -69,8 +69,11 @@ def quote_messages(l3: DataFrame, key_cols: Sequence[str] = ()) -> DataFrame:
     """What the quote depends on: (keys, seq_num, time, is_bid, price, qty).
 
     ``is_bid`` is true for a bid, false for an ask and null for a row that quotes nothing.
-    Columns of deletes and trades are not read, and only these few are shuffled.
+    Columns of deletes and trades are not read, and only these few are shuffled. Rows that
+    already have this shape pass through.
     """
+    if "is_bid" in l3.columns:
+        return l3
     messages = l3 if "action" in l3.columns else l3_messages(l3, key_cols, ("add", "update"))
     quoted = {"is_bid": F.col("side") == BUY, "price": F.col("price"), "qty": F.col("qty")}
     return messages.select(

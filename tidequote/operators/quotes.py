@@ -19,6 +19,8 @@ from tidequote.operators.scan import Running, scan
 from tidequote.schema import BUY
 
 MODES = ("best_quote", "event_quote", "as_coded", "full_book")
+# Modes whose state is a few values per instrument, so that a stream can carry it.
+CARRIED_MODES = ("best_quote", "event_quote")
 
 
 def level(price: Column, first: Column, qty: Column) -> Column:
@@ -126,13 +128,14 @@ def l3_to_l1(
 ) -> DataFrame:
     """One Level-1 row per message once both sides are quoted, in ``seq_num`` order.
 
-    ``l3`` is the sixteen-column feed or its ``l3_messages`` form; it is read several
-    times, so land an input that is costly to compute. ``opening`` is the quote state
-    before the first message (best_quote and event_quote).
+    ``l3`` is the sixteen-column feed or its ``l3_messages`` form (for best_quote and
+    event_quote also ``quote_messages``); it is read several times, so land an input that
+    is costly to compute. ``opening`` is the quote state before the first message
+    (best_quote and event_quote).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    if opening is not None and mode not in ("best_quote", "event_quote"):
+    if opening is not None and mode not in CARRIED_MODES:
         raise ValueError(f"mode {mode!r} takes no opening state")
     if mode == "as_coded":
         return _as_coded(l3, key_cols, ranges)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tidequote.functions.messages import quote_messages
-from tidequote.operators.quotes import l3_to_l1, quote_state
+from tidequote.operators.quotes import CARRIED_MODES, l3_to_l1, quote_state
 from tidequote.streaming.per_batch import write_sized_batch
 
 
@@ -60,6 +60,8 @@ def continuous_sink(
 
     Late messages count when they arrive, unless ``drop_later_than`` bounds the lateness.
     """
+    if mode not in CARRIED_MODES:
+        raise ValueError(f"a continuous stream has mode {' or '.join(CARRIED_MODES)}, not {mode!r}")
     running = quote_state(mode)
     names = [r.name for r in running]
 

@@ -1,10 +1,12 @@
 import random
+from datetime import timedelta
 
 import pytest
 from fixtures import (
     EDGE_QUOTES,
     SAMPLE_QUOTES,
     SEQ,
+    START,
     edge_l3,
     messages_frame,
     quotes_by_seq,
@@ -18,6 +20,7 @@ from tidequote import MODES, l3_messages, l3_to_l1
 from tidequote.operators.ranges import LONG_MAX, RANGE, SeqRanges, plan_ranges
 from tidequote.operators.scan import Running, scan
 from tidequote.schema import L1_SCHEMA
+from tidequote.sources.events import l3_from_events
 
 QUOTE_MODES = ("best_quote", "event_quote", "full_book")
 
@@ -196,3 +199,23 @@ def test_scan_sums_with_an_opening(spark, ranges):
         (8, 8, 124, 116),
         (9, 9, 133, 124),
     ]
+
+
+def test_feed_of_a_busy_user_does_not_depend_on_ranges(spark):
+    kinds = ["click", "view", "signup", "error", "purchase", "unknown"]
+    rng = random.Random(8)
+    rows = [
+        (i, START + timedelta(seconds=i), rng.choice([1, 1, 2, 3, 4]), rng.choice(kinds), i % 97 / 4)
+        for i in range(900)
+    ]
+    events = spark.createDataFrame(
+        rng.sample(rows, len(rows)),
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+    )
+    ranges = plan_ranges(events, "event_id", ["user_id"], rows_per_range=200)
+    assert len(ranges.hot_keys) == 1 and ranges.is_split
+    got = [
+        sorted(map(repr, l3_from_events(events, r).collect()))
+        for r in (ranges, SeqRanges(key_cols=("user_id",)))
+    ]
+    assert got[0] == got[1] and len(got[0]) == 900

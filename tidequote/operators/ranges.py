@@ -23,11 +23,15 @@ NULL_RANGE = -1
 ROWS_PER_RANGE = 1 << 20
 RANGES_PER_PARTITION = 4
 MAX_RANGES = 1 << 18
+# With keys every split key may have a carry row in every range, so there are fewer of them.
+MAX_KEYED_RANGES = 1 << 14
 MAX_PARTITIONS = 1 << 15
 MIN_ROWS_TO_CUT = 1024
 SAMPLES_PER_RANGE = 32
-MAX_HOT_KEYS = 1000
-HOT_KEY_SAMPLE = 1 << 20
+# Keys are split that hold more than one in so many of the rows and more than one range's
+# worth; that is also about how many keys the plan may have to name.
+MAX_HOT_KEYS = 1 << 16
+HOT_KEY_SAMPLE = 16 * MAX_HOT_KEYS
 MAX_COMPARES = 4
 LONG_MAX = (1 << 63) - 1
 
@@ -64,7 +68,8 @@ class SeqRanges:
             return F.lit(False)
         if not self.key_cols:
             return F.lit(True)
-        return F.xxhash64(*self.key_cols).isin(list(self.hot_keys))
+        hashes = ", ".join(map(str, self.hot_keys))
+        return F.expr(f"{_key_hash(self.key_cols)} in ({hashes})")
 
     def range_of(self, order_col: str) -> Column:
         """Index of the row's range: how many cut points are at or below its order value.
@@ -110,13 +115,16 @@ def _literal(values: Sequence[float], kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(list(values))), f"array<{kind}>")
 
 
+def _key_hash(key_cols: Sequence[str]) -> str:
+    return f"xxhash64({', '.join(f'`{k}`' for k in key_cols)})"
+
+
 def _hot_keys(df: DataFrame, key_cols: Sequence[str], rows: int, rows_per_range: int) -> tuple:
     """Hashes of keys with more than a range's worth of rows; a false hit is harmless."""
     share = min(1.0, HOT_KEY_SAMPLE / rows)
-    # A key seen this often has about rows / MAX_HOT_KEYS rows or a full range, whichever is more.
     seen = max(rows_per_range, rows / MAX_HOT_KEYS) * share
     hot = (
-        df.select(F.xxhash64(*key_cols).alias("key"))
+        df.select(F.expr(_key_hash(key_cols)).alias("key"))
         .sample(share, seed=7)
         .groupBy("key")
         .count()
@@ -157,13 +165,15 @@ def plan_ranges(
     rows = df.count()
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     floor = min(shuffle, rows // MIN_ROWS_TO_CUT + 1)
-    ranges = min(MAX_RANGES, max(floor, math.ceil(rows / rows_per_range)))
+    keys = tuple(key_cols)
+    ranges = max(floor, math.ceil(rows / rows_per_range))
     partitions = min(
         MAX_PARTITIONS, max(min(shuffle, ranges), math.ceil(ranges / RANGES_PER_PARTITION))
     )
-    # The same number of ranges for every partition.
-    ranges = math.ceil(ranges / partitions) * partitions
-    keys = tuple(key_cols)
+    ranges = min(ranges, MAX_KEYED_RANGES if keys else MAX_RANGES)
+    if not keys:
+        # The same number of ranges for every partition.
+        ranges = math.ceil(ranges / partitions) * partitions
     hot_keys = ()
     if keys and rows > rows_per_range:
         hot_keys = _hot_keys(df, keys, rows, rows_per_range)

@@ -26,24 +26,21 @@ def _slot(state_path: str, batch_id: int) -> str:
     return f"{state_path}/slot={batch_id % 2}"
 
 
-def _read_state(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame | None:
-    """What the previous batch left; none before the first."""
+def _read_state(
+    spark: SparkSession, state_path: str, batch_id: int
+) -> tuple[DataFrame | None, int | None]:
+    """What the previous batch left and the latest time seen up to it; nothing at first."""
     if batch_id == 0:
-        return None
+        return None, None
     state = spark.read.parquet(_slot(state_path, batch_id - 1))
-    wrong = state.where(F.col("batch_id") != batch_id - 1)
-    if not wrong.isEmpty():
+    left = state.agg(
+        F.min("batch_id").alias("first"),
+        F.max("batch_id").alias("last"),
+        F.max(F.unix_micros("latest")).alias("latest"),
+    ).first()
+    if {left["first"], left["last"]} - {batch_id - 1, None}:
         raise RuntimeError(f"state in {state_path} is not that of batch {batch_id - 1}")
-    return state
-
-
-def _late_limit(state: DataFrame | None, lateness: str | None) -> int | None:
-    """Messages older than this many microseconds are late: the latest time seen in earlier
-    batches less the allowed lateness, as Spark's own watermark."""
-    if state is None or lateness is None:
-        return None
-    latest = state.agg(F.max(F.unix_micros("latest")).alias("latest")).first()["latest"]
-    return latest and latest - pd.Timedelta(lateness) // pd.Timedelta(microseconds=1)
+    return state, left["latest"]
 
 
 def continuous_sink(
@@ -67,10 +64,11 @@ def continuous_sink(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = _read_state(spark, state_path, batch_id)
+        before, latest = _read_state(spark, state_path, batch_id)
         messages = quote_messages(batch, key_cols)
-        limit = _late_limit(before, drop_later_than)
-        if limit is not None:
+        if drop_later_than is not None and latest is not None:
+            # As Spark's watermark: the latest time of earlier batches less the lateness.
+            limit = latest - pd.Timedelta(drop_later_than) // pd.Timedelta(microseconds=1)
             messages = messages.where(
                 F.coalesce(F.unix_micros("time") >= limit, F.lit(True))
             )

@@ -17,8 +17,10 @@ from fixtures import (
 from pyspark.sql import functions as F
 
 from tidequote import MODES, l3_messages, l3_to_l1
+from tidequote.functions.messages import quote_messages
+from tidequote.operators.quotes import quote_state
 from tidequote.operators.ranges import LONG_MAX, RANGE, SeqRanges, plan_ranges
-from tidequote.operators.scan import Running, scan
+from tidequote.operators.scan import Running, scan, summarise
 from tidequote.schema import L1_SCHEMA
 from tidequote.sources.events import l3_from_events
 
@@ -118,6 +120,23 @@ def test_hot_seq_numbers_do_not_change_the_result(spark, mode, keys):
     assert rows(plan) == rows(whole)
 
 
+@pytest.mark.parametrize("keys", [(), ("venue",)])
+def test_carried_state_equals_one_long_feed(spark, keys):
+    rng = random.Random(21)
+    rows = [(*m, i % 7 // 5) for i, m in enumerate(random_messages(rng, 400))]
+    feed = messages_frame(spark, rows, "venue").cache()
+    middle = rows[200][0]
+    head, tail = feed.where(F.col("seq_num") < middle), feed.where(F.col("seq_num") >= middle)
+    for mode in ("best_quote", "event_quote"):
+        state = quote_state(mode)
+        opening = summarise(quote_messages(head, keys), state, keys)
+        whole = l3_to_l1(feed, mode, keys, SeqRanges(key_cols=keys))
+        want = sorted(map(repr, whole.where(F.col("seq_num") >= middle).collect()))
+        for n in (15, 70, 1000):
+            got = l3_to_l1(tail, mode, keys, cut(tail, n, keys), opening)
+            assert sorted(map(repr, got.collect())) == want
+
+
 def test_input_layout_does_not_matter(spark):
     df = _peers(spark)
     for mode in MODES:

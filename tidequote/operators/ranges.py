@@ -155,16 +155,19 @@ def plan_ranges(
     order_col: str = "seq_num",
     key_cols: Sequence[str] = (),
     rows_per_range: int = ROWS_PER_RANGE,
+    min_rows: int = MIN_ROWS_TO_CUT,
 ) -> SeqRanges:
     """Choose ranges for ``df``: a count, then at most two sampled one-column passes.
 
+    Small tables are cut into a range per ``min_rows``, up to one per shuffle partition.
+
     Without keys the whole table is cut. With keys only those holding more than
     ``rows_per_range`` rows are, so that ordinary keys need one plain keyed window.
     """
     spark = df.sparkSession
     rows = df.count()
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    floor = min(shuffle, rows // MIN_ROWS_TO_CUT + 1)
+    floor = min(shuffle, rows // min_rows + 1)
     keys = tuple(key_cols)
     ranges = max(floor, math.ceil(rows / rows_per_range))
     partitions = min(

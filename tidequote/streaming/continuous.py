@@ -19,7 +19,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tidequote.functions.messages import quote_messages
 from tidequote.operators.quotes import CARRIED_MODES, l3_to_l1, quote_state
-from tidequote.streaming.per_batch import write_sized_batch
+from tidequote.streaming.per_batch import batch_ranges, write_sized_batch
 
 
 def _slot(state_path: str, batch_id: int) -> str:
@@ -75,7 +75,8 @@ def continuous_sink(
         messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             opening = None if before is None else before.select(*key_cols, *names)
-            l1 = l3_to_l1(messages, mode, key_cols, opening=opening)
+            ranges = batch_ranges(messages, key_cols)
+            l1 = l3_to_l1(messages, mode, key_cols, ranges, opening)
             write_sized_batch(l1, batch_id, path, block_size, delimiter, header)
             states = messages.groupBy(*key_cols).agg(
                 *[r.fold(r.value).alias(r.name) for r in running], F.max("time").alias("latest")

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidequote.llm.mixing import mix
 from tidequote.llm.packing import pack
+from tidequote.llm.secret_scan import scan_secrets
 from tidequote.llm.tokens import count_tokens
 
 
@@ -18,12 +20,22 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).drop("copies")
+
+
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op6_secrets": op6_secrets,
+    "op7_mixing": op7_mixing,
     "op8_tokens": op8_tokens,
 }
 

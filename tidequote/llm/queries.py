@@ -10,6 +10,7 @@ from tidequote.llm.mixing import mix
 from tidequote.llm.packing import pack
 from tidequote.llm.secret_scan import scan_secrets
 from tidequote.llm.tokens import count_tokens
+from tidequote.llm.warc import archive_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +21,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = archive_pages(_table(spark, sf_dir, "pages"))
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -34,9 +40,23 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op4_warc": op4_warc,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
     "op8_tokens": op8_tokens,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc": """
+        with p as (
+            select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes from pages
+        ), first as (
+            select *, case when payload_bytes >= 100 then min(page_id) over (partition by html) else page_id end as r
+            from p
+        )
+        select page_id, payload_bytes, sha256(html) as payload_digest,
+            case when r < page_id then 'revisit' else 'response' end as record_type,
+            case when r < page_id then r end as refers_to
+        from first
+    """,
+}

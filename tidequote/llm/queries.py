@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidequote.llm.minhash import near_duplicates
 from tidequote.llm.mixing import mix
 from tidequote.llm.packing import pack
+from tidequote.llm.quality import score_quality, train
 from tidequote.llm.secret_scan import scan_secrets
 from tidequote.llm.tokens import count_tokens
 from tidequote.llm.warc import archive_pages
@@ -17,6 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_quality(docs, train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
@@ -26,6 +33,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -39,8 +50,10 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op4_warc": op4_warc,
+    "op5_minhash": op5_minhash,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
     "op8_tokens": op8_tokens,

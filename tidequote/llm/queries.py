@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidequote.llm.gridorder import near_vectors
 from tidequote.llm.minhash import near_duplicates
 from tidequote.llm.mixing import mix
 from tidequote.llm.packing import pack
@@ -28,6 +29,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op3_gridorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = archive_pages(_table(spark, sf_dir, "pages"))
     return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -52,6 +57,7 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
+    "op3_gridorder": op3_gridorder,
     "op4_warc": op4_warc,
     "op5_minhash": op5_minhash,
     "op6_secrets": op6_secrets,
@@ -60,6 +66,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_gridorder": """
+        with recursive v as (
+            select vec_id, label, embedding::double[] as e from embeddings
+            where label is not null and len(embedding) > 0
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+                and len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links as (
+            select a.vec_id as a, b.vec_id as b from v a join v b
+            on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+                and list_cosine_similarity(a.e, b.e) >= 0.93
+        ), reached as (
+            select a as id, a as root from links
+            union
+            select l.b, r.root from reached r join links l on l.a = r.id where r.root < l.b
+        ), roots as (
+            select id, min(root) as root from reached group by id
+        ), counts as (
+            select a as id, count(*) as n from links group by a
+        )
+        select e.vec_id, coalesce(n, 0) as n_links, least(e.vec_id, coalesce(root, e.vec_id)) as component_id,
+            e.vec_id = least(e.vec_id, coalesce(root, e.vec_id)) as kept
+        from embeddings e left join counts c on c.id = e.vec_id left join roots r on r.id = e.vec_id
+    """,
     "op4_warc": """
         with p as (
             select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes from pages

@@ -13,6 +13,7 @@ from tidequote.llm.packing import pack
 from tidequote.llm.quality import score_quality, train
 from tidequote.llm.secret_scan import scan_secrets
 from tidequote.llm.tokens import count_tokens
+from tidequote.llm.treesearch import nearest
 from tidequote.llm.warc import archive_pages
 
 
@@ -54,6 +55,10 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op9_treesearch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
     "op8_tokens": op8_tokens,
+    "op9_treesearch": op9_treesearch,
 }
 
 ORACLES: dict[str, str] = {

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidequote.llm.gridorder import near_vectors
+from tidequote.llm.maxent import score_texts
 from tidequote.llm.minhash import near_duplicates
 from tidequote.llm.mixing import mix
 from tidequote.llm.packing import pack
@@ -59,6 +60,10 @@ def op9_treesearch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_tokens": op8_tokens,
     "op9_treesearch": op9_treesearch,
+    "op10_maxent": op10_maxent,
 }
 
 ORACLES: dict[str, str] = {

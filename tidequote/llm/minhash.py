@@ -5,9 +5,9 @@
    pair of similarity 0.85 shares no bucket with a probability below 5e-6.
 3. Each member of a bucket is confirmed, on full shingle sets, against the bucket's smallest.
 4. Buckets that still hold several components are searched for further links between them: in
-   blocks, so that no task sees more than two blocks of a bucket, comparing whole signatures.
-   Pairs whose estimate is at least ``similarity - MARGIN`` (over five standard deviations) are
-   confirmed on full sets as well. Members of one component are not compared again.
+   blocks, so that no task sees more than two blocks of a bucket. Pairs whose signatures agree in
+   a share of at least ``similarity - MARGIN`` (over five standard deviations below) are
+   confirmed on full sets, unless both are in one component already.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidequote.llm.components import components
@@ -26,7 +27,7 @@ from tidequote.sources.landing import land
 
 HASHES = 78
 ROWS_PER_BAND = 6
-BLOCK = 256
+BLOCK = 1024
 MARGIN = 0.15
 
 
@@ -76,9 +77,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             linked = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
                 x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * common >= percent * (len(both) - common))
+                linked.append(_similar(x, y, percent))
             kept = batch.filter(pa.array(linked, pa.bool_()))
             yield pa.record_batch([kept.column("a"), kept.column("b")], names=["a", "b"])
 
@@ -88,12 +87,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return own.select("a", "b", "set_a", "set_b").mapInArrow(confirm, "a long, b long")
 
 
-def _across_components(open_rows: DataFrame, percent: int) -> DataFrame:
-    """Similar pairs of different components within buckets, by their signatures.
+def _across_components(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components within buckets, confirmed on full sets.
 
-    ``open_rows`` (band, rep, component, n, signature) holds the buckets with two components or
-    more. Components of a block or more have blocks of their own, the others share some; a task
-    compares two blocks, and two blocks of one component are not compared.
+    ``open_rows`` (band, rep, component, n) holds the buckets with two components or more. Components of a block or more have blocks of their own, the others share
+    some; a task compares two blocks, and two blocks of one component are not compared. What a
+    task has linked it does not compare again, so it reports fewer links than it has rows.
     """
     by_component = open_rows.groupBy("band", "component").agg(F.count("*").alias("size"))
     pooled = F.col("size") < BLOCK
@@ -105,18 +104,28 @@ def _across_components(open_rows: DataFrame, percent: int) -> DataFrame:
     salt = F.when(pooled, F.pmod(F.xxhash64("component"), many)).otherwise(F.pmod(F.xxhash64("rep"), many))
     block = F.struct(F.when(~pooled, F.col("component")).alias("of"), salt.alias("part"))
     rows = open_rows.join(by_component, ["band", "component"]).withColumn("block", block)
-    blocks = rows.groupBy("band", "block").agg(F.lit(1).alias("one")).drop("one")
+    blocks = rows.select("band", "block").distinct()
     left = blocks.select("band", F.col("block").alias("left"))
     right = blocks.select("band", F.col("block").alias("right"))
-    # block pairs of a bucket, each block again with itself only if it holds several components
+    # block pairs of a bucket; a block of one component is not compared with that component's
     matches = left.join(right, "band").where(
-        "left < right or (left = right and left.of is null)"
-    ).where("not (left.of <=> right.of and left.of is not null)")
-    matches = matches.withColumn("match", F.xxhash64("band", "left", "right"))
+        "(left < right and not (left.of is not null and left.of <=> right.of)) or (left = right and left.of is null)"
+    )
+    # a block that meets others is not compared with itself apart: any of its pairs does that
+    matches = matches.withColumn("alone", F.count("*").over(W.partitionBy("band")) == 1)
+    matches = matches.where("alone or left < right").withColumn("match", F.xxhash64("band", "left", "right"))
     ends = matches.select("band", "match", F.explode(F.array_distinct(F.array("left", "right"))).alias("block"))
-    dealt = rows.join(ends, ["band", "block"]).select("match", "rep", "component", "n", "signature")
+    dealt = rows.join(ends, ["band", "block"]).select("match", "rep", "component", "n")
+    # full sets go only to rows that some signature is near enough to
+    near = dealt.join(sets.select("rep", "signature"), "rep").transform(_by_match, _near, percent, dealt.schema)
+    near = near.join(sets, "rep").select(*dealt.columns, "signature", "members")
+    return near.transform(_by_match, _linked, percent, "a long, b long")
+
+
+def _by_match(rows: DataFrame, function, percent: int, schema) -> DataFrame:
+    """Applies ``function`` to the rows of each match, one match after the other."""
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
@@ -124,28 +133,58 @@ def _across_components(open_rows: DataFrame, percent: int) -> DataFrame:
             match = table.column("match").to_numpy()
             cuts = np.flatnonzero(match[1:] != match[:-1]) + 1
             for a, b in zip([0, *cuts[:-1]], cuts, strict=False):
-                yield _similar(table.slice(a, b - a), percent)
+                yield from function(table.slice(a, b - a), percent)
             held = table.slice(cuts[-1]) if len(cuts) else table
         if held is not None and held.num_rows:
-            yield _similar(held, percent)
+            yield from function(held, percent)
+
+    return rows.repartition("match").sortWithinPartitions("match").mapInArrow(run, schema)
+
+
+def _signatures(group: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(group.num_rows, -1)
 
-    ordered = dealt.repartition("match").sortWithinPartitions("match")
-    return ordered.mapInArrow(compare, "a long, b long").distinct()
 
+def _partners(i: int, component: np.ndarray, n: np.ndarray, signature: np.ndarray, percent: int) -> np.ndarray:
+    """Later rows of other components that may be linked with row ``i``, the likeliest first."""
+    j = np.arange(i + 1, len(n))
+    j = j[(component[j] != component[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
+    if not len(j):
+        return j
+    agree = (signature[j] == signature[i]).sum(1)
+    enough = int((agree >= (percent / 100 - MARGIN) * signature.shape[1]).sum())
+    return j[np.argsort(-agree, kind="stable")][:enough]
 
-def _similar(group: pa.Table, percent: int) -> pa.RecordBatch:
-    rep, component, n = (group.column(c).to_numpy() for c in ("rep", "component", "n"))
-    signature = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(len(rep), -1)
-    found = [np.empty((0, 2), np.int64)]
-    need = int(np.ceil((percent / 100 - MARGIN) * signature.shape[1]))
+
+def _near(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    component, n, signature = group.column("component").to_numpy(), group.column("n").to_numpy(), _signatures(group)
+    near = np.zeros(len(n), bool)
+    for i in range(len(n) - 1):
+        j = _partners(i, component, n, signature, percent)
+        if len(j):
+            near[i] = near[j] = True
+    yield from group.select(["match", "rep", "component", "n"]).filter(pa.array(near)).to_batches()
+
+
+def _linked(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links that join the components of a group, as far as they can be joined."""
+    rep, n, signature = group.column("rep").to_numpy(), group.column("n").to_numpy(), _signatures(group)
+    component = group.column("component").to_numpy().copy()
+    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in group.column("members")]
+    found = []
     for i in range(len(rep) - 1):
-        j = np.arange(i + 1, len(rep))
-        j = j[(component[j] != component[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
-        j = j[(signature[j] == signature[i]).sum(1) >= need]
-        own = np.full(len(j), rep[i])
-        found.append(np.stack([np.minimum(own, rep[j]), np.maximum(own, rep[j])], 1))
-    pairs = np.concatenate(found)
-    return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        for k in _partners(i, component, n, signature, percent).tolist():
+            if component[k] != component[i] and _similar(sets[i], sets[k], percent):
+                found.append((rep[i], rep[k]))
+                component[component == component[k]] = component[i]
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.sort(np.concatenate([x, y]))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
@@ -180,8 +219,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     placed = placed.withColumn("component", F.coalesce("component_id", "rep")).drop("component_id")
     mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_rows = placed.join(mixed.where("low < high").select("band"), "band", "left_semi")
-    open_rows = open_rows.join(sets.select("rep", "signature"), "rep")
-    more = _confirmed(_across_components(open_rows, percent), sets, percent)
+    more = _across_components(open_rows, sets, percent)
     roots = components(roots.unionByName(more.toDF("id", "component_id")))
 
     own = classes.select("set_id", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")

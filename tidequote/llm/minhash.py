@@ -1,8 +1,9 @@
 """Near-duplicate documents by min-max hashing (operator 5).
 
 1. Equal shingle sets become classes with one representative.
-2. Bands of min-max signatures put representatives into buckets. With 26 bands of 6 places a
-   pair of similarity 0.85 shares no bucket with a probability below 5e-6.
+2. Bands of min-max signatures put representatives into buckets. There are as many bands of 6
+   places as it takes for a pair of just the similarity asked for to share no bucket with a
+   probability below 5e-6: 26 bands, of 78 hash functions, for 0.85.
 3. Each member of a bucket is confirmed, on full shingle sets, against the bucket's smallest.
 4. Buckets that still hold several components are searched for further links between them: in
    blocks, so that no task sees more than two blocks of a bucket. Pairs whose signatures agree in
@@ -21,21 +22,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidequote.llm.columns import free_names
 from tidequote.llm.components import components
 from tidequote.llm.shingles import band_keys, min_max_signatures, shingle_sets
 from tidequote.sources.landing import land
 
-HASHES = 78
 ROWS_PER_BAND = 6
+MISSED = 5e-6
 BLOCK = 1024
 MARGIN = 0.15
 
 
-def _sketches(docs: DataFrame, words: int) -> DataFrame:
+def hash_functions(percent: int) -> int:
+    """Half the places of the signature, as each function gives a least and a greatest value."""
+    bands = np.ceil(np.log(MISSED) / np.log1p(-((percent / 100) ** ROWS_PER_BAND)))
+    return max(1, int(bands)) * ROWS_PER_BAND // 2
+
+
+def _sketches(docs: DataFrame, words: int, hashes: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, flat, offsets in shingle_sets(batch.rename_columns(["doc_id", "text"]), words):
-                keys = band_keys(min_max_signatures(flat, offsets, HASHES), ROWS_PER_BAND).view(np.int64)
+                keys = band_keys(min_max_signatures(flat, offsets, hashes), ROWS_PER_BAND).view(np.int64)
                 raw, ends = memoryview(flat.tobytes()), (offsets * 8).tolist()
                 sets = [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(ends, ends[1:], strict=False)]
                 at = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1])
@@ -53,13 +61,13 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
     return own.mapInArrow(sketch, "doc_id long, n_shingles long, set_id binary, bands array<long>")
 
 
-def _full_sets(docs: DataFrame, words: int) -> DataFrame:
+def _full_sets(docs: DataFrame, words: int, hashes: int) -> DataFrame:
     """(rep, full set, signature) of documents, as binary columns."""
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, flat, offsets in shingle_sets(batch.rename_columns(["doc_id", "text"]), words):
-                signatures = min_max_signatures(flat, offsets, HASHES)
+                signatures = min_max_signatures(flat, offsets, hashes)
                 sets = [flat[a:b].tobytes() for a, b in zip(offsets, offsets[1:], strict=False)]
                 yield pa.record_batch(
                     [rows.column("doc_id"), pa.array(sets, pa.binary()), pa.array([s.tobytes() for s in signatures], pa.binary())],
@@ -196,7 +204,10 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     linked by their equal sets. A row whose id is null takes no part: its component_id is null
     and it is kept. An empty table gives an empty result; only ``doc_id`` and ``text`` are read.
     """
-    sketches = land(_sketches(docs, words), "sketches")
+    if not 0 < percent < 100:
+        raise ValueError("percent must lie between 0 and 100")
+    hashes = hash_functions(percent)
+    sketches = land(_sketches(docs, words, hashes), "sketches")
     real = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = real.groupBy("set_id").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("r"))
     classes = land(classes.select("set_id", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.bands"), "classes")
@@ -211,7 +222,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     asked = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     texts = texts.join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = land(_full_sets(texts, words), "sets")
+    sets = land(_full_sets(texts, words, hashes), "sets")
 
     links = land(_confirmed(stars, sets, percent), "links")
     roots = components(links)
@@ -230,3 +241,17 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     )
+
+
+def keep_one(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group the smallest ``doc_id`` stays.
+
+    Rows that share an id share its fate, and of rows equal in id and text one stays. Rows
+    without words or without an id stay as they are.
+    """
+    dropped = near_duplicates(docs, words, percent).where(~F.col("kept")).select("doc_id").distinct()
+    hashed, turn = free_names(docs, "text_hash", "turn")
+    same = F.row_number().over(W.partitionBy("doc_id", hashed).orderBy(F.lit(0)))
+    left = docs.where("doc_id is not null").join(dropped, "doc_id", "left_anti")
+    left = left.withColumn(hashed, F.xxhash64("text")).withColumn(turn, same).where(F.col(turn) == 1)
+    return left.select(*docs.columns).unionByName(docs.where("doc_id is null"))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidequote.llm.columns import free_names
 from tidequote.llm.textbytes import chunks, word_counts
 from tidequote.sources.landing import land
 
@@ -187,3 +188,18 @@ def mix(
     return every.select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
     )
+
+
+def taken(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, all columns as they are.
+
+    Equal rows are interchangeable: together they appear as often as all of them are taken.
+    """
+    unit, copies, turn, time = free_names(docs, "unit", "copies", "turn", "time")
+    own = docs.withColumn(unit, F.xxhash64("doc_id", "source", "text"))
+    chosen = mix(own.select(F.col(unit).alias("doc_id"), "source", "text"), weights, share, most)
+    chosen = chosen.groupBy(F.col("doc_id").alias(unit)).agg(F.sum("copies").alias(copies)).where(F.col(copies) > 0)
+    first = F.row_number().over(W.partitionBy(unit).orderBy(F.lit(0)))
+    rows = own.join(chosen, unit).withColumn(turn, first).where(F.col(turn) == 1)
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(time)
+    return rows.select(*docs.columns, times).drop(time)

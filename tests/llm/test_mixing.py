@@ -1,0 +1,111 @@
+import re
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidequote.llm import mixing
+from tidequote.llm.mixing import fly, mix, source_targets, taken
+
+
+def _targets(sizes):
+    """Weights shared by turns: what is cut off goes to the others by weight, until nothing is."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    target, left, still = dict.fromkeys(order, 0.0), 1.5 * sum(sizes.values()), set(order)
+    while left > 1e-9 and still:
+        total = sum(weight[s] for s in still)
+        over = 0.0
+        for s in list(still):
+            target[s] += left * weight[s] / total
+            if target[s] >= 2 * sizes[s]:
+                over += target[s] - 2 * sizes[s]
+                target[s] = 2 * sizes[s]
+                still.discard(s)
+        left = over
+    return target
+
+
+def _words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def test_targets(spark):
+    sizes = {"src1": 500, "src10": 40, "src2": 3000, "É": 1, "a": 0, "b": 12000, None: 700}
+    frame = spark.createDataFrame([(1, s, n) for s, n in sizes.items()], "doc_id long, source string, size long")
+    got = {r.source: (r.source_size, r.target) for r in source_targets(frame).collect()}
+    want = _targets(sizes)
+    assert {s: n for s, (n, _) in got.items()} == sizes
+    assert all(abs(got[s][1] - want[s]) < 1e-6 for s in sizes)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 500), min_size=1, max_size=60), st.floats(0, 1), st.integers(0, 99))
+def test_flight_keeps_the_totals(sizes, chance, seed):
+    z, p = np.array(sizes), np.full(len(sizes), chance)
+    out = fly(p, z, np.random.default_rng(seed), last=False)
+    open_units = (out > 0) & (out < 1)
+    assert open_units.sum() <= 2
+    assert ((out >= 0) & (out <= 1)).all()
+    assert abs(out.sum() - p.sum()) < 1e-5
+    assert abs((out * z).sum() - (p * z).sum()) < 1e-4
+    landed = fly(p, z, np.random.default_rng(seed), last=True)
+    assert np.isin(landed, (0, 1)).all()
+    assert abs((landed * z).sum() - (p * z).sum()) <= z.max() + 1e-6
+
+
+def test_chances_are_kept_on_average():
+    z = np.array([3, 50, 7, 7, 120, 1, 9, 30] * 5)
+    mean = np.mean([fly(np.full(40, 0.3), z, np.random.default_rng(k), last=False) for k in range(400)], axis=0)
+    assert np.abs(mean - 0.3).max() < 0.1
+
+
+def _check(docs, near):
+    rows = mix(docs).collect()
+    own = docs.select("doc_id", "source", "text").collect()
+    size = Counter()
+    for r in own:
+        size[r.source] += _words(r.text)
+    want = _targets(size)
+    assert Counter((r.doc_id, r.source, r.size) for r in rows) == Counter((r.doc_id, r.source, _words(r.text)) for r in own)
+    got = Counter()
+    for r in rows:
+        assert r.taken == r.size * r.copies and 0 <= r.copies <= 2
+        assert r.source_size == size[r.source] and abs(r.target - want[r.source]) < 1e-6
+        got[r.source] += r.taken
+    assert all(abs(got[s] - want[s]) <= near(s) for s in size)
+    assert Counter(mix(docs).collect()) == Counter(rows)
+
+
+def test_mix(documents, messy, nothing):
+    for docs in (documents, messy):
+        longest = {}
+        for r in docs.collect():
+            longest[r.source] = max(longest.get(r.source, 0), _words(r.text))
+        _check(docs, lambda s: longest[s] / 2)  # noqa: B023
+    assert mix(nothing).collect() == []
+
+
+def test_levels(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 5)
+    _check(documents, lambda s: 2000)
+
+
+def test_taken_rows(messy, documents, nothing):
+    for docs in (messy, documents):
+        copies = Counter()
+        for r in mix(docs).collect():
+            copies[r.source] += r.copies
+        got = taken(docs)
+        assert got.columns == docs.columns
+        rows, own = Counter(got.collect()), Counter(docs.collect())
+        assert set(rows) <= set(own)
+        assert all(n <= 2 * own[r] for r, n in rows.items())
+        words = Counter()
+        for r, n in rows.items():
+            words[r.source] += n * _words(r.text)
+        for s, target in _targets({s: sum(_words(r.text) * n for r, n in own.items() if r.source == s) for s in copies}).items():
+            longest = max((_words(r.text) for r in own if r.source == s), default=0)
+            assert abs(words[s] - target) <= longest
+    assert taken(nothing).collect() == []

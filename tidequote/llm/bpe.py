@@ -9,11 +9,13 @@ the round before are taken out, so later rounds work on the few long ones.
 from __future__ import annotations
 
 import json
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+from tokenizers.pre_tokenizers import ByteLevel
 
 NONE = np.int32(2**31 - 1)
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
@@ -21,13 +23,26 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 
 @lru_cache(1)
 def code_point_classes() -> np.ndarray:
-    """Letter, number, white space or other for every code point."""
+    """Letter, number, white space or other for every code point, as the library sees them.
+
+    ``regex`` and ``unicodedata`` follow different versions of Unicode; where they disagree the
+    library's own pre-tokenizer is asked.
+    """
     classes = np.zeros(0x110000, np.uint8)
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         for found in regex.finditer(pattern, every):
             a, b = (i if i < 0xD800 else i + 0x800 for i in found.span())
             classes[a:b] = kind
+    known = {"L": LETTER, "N": NUMBER}
+    other = [c for c in every if known.get(unicodedata.category(c)[0], OTHER) != classes[ord(c)] != SPACE]
+    split = ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+    for a in range(0, len(other), 1024):
+        own = other[a : a + 1024]
+        spans = {span for _, span in split("".join(f"a{c}a1{c}1!" for c in own))}
+        for at, c in zip(range(0, 7 * len(own), 7), own, strict=True):
+            kind = LETTER if (at, at + 3) in spans else NUMBER if (at + 3, at + 6) in spans else OTHER
+            classes[ord(c)] = kind
     return classes
 
 

@@ -6,7 +6,7 @@ three documents at a time along the null space of the constraints (documents, to
 of them is 0 or 1. It runs in blocks of a source; a block leaves at most two documents undecided,
 and those fly on in blocks of the next level, until one block per source is left. There the last
 two are landed: without the document constraint, then by rounding, and the tokens that rounding
-adds or takes are made good by exchanging one taken document for one left out.
+adds or takes are made good by exchanging documents taken for documents left out.
 """
 
 from __future__ import annotations
@@ -106,24 +106,31 @@ def fly(chance: np.ndarray, size: np.ndarray, rng: np.random.Generator, last: bo
 
 
 def _exchange(p: list[float], units: list[int], z: list[float], excess: float) -> None:
-    """Swaps the pair of a taken and a left-out document that brings ``excess`` nearest to 0."""
-    taken = [k for k in units if p[k] == 1]
-    left = sorted((k for k in units if p[k] == 0), key=lambda k: z[k])
-    if not taken or not left:
-        return
-    sizes = np.array([z[k] for k in left])
-    own = np.array([z[k] for k in taken])
-    at = np.searchsorted(sizes, own - excess)
-    best = abs(excess)
-    pair = None
-    for shift in (-1, 0):
-        j = np.clip(at + shift, 0, len(left) - 1)
-        off = np.abs(excess + sizes[j] - own)
-        i = int(off.argmin())
-        if off[i] < best:
-            best, pair = off[i], (taken[i], left[int(j[i])])
-    if pair:
-        p[pair[0]], p[pair[1]] = 0.0, 1.0
+    """Swaps a taken and a left-out document while that brings ``excess`` nearer to 0.
+
+    Either side of a swap may be empty; of equal swaps the first is made.
+    """
+    while True:
+        taken = [k for k in units if p[k] == 1]
+        left = sorted((k for k in units if p[k] == 0), key=lambda k: z[k])
+        own = np.array([*(z[k] for k in taken), 0.0])
+        sizes = np.array([0.0, *(z[k] for k in left)])
+        at = np.searchsorted(sizes, own - excess)
+        best, pair = abs(excess) - _EPS, None
+        for shift in (-1, 0):
+            j = np.clip(at + shift, 0, len(left))
+            off = np.abs(excess + sizes[j] - own)
+            i = int(off.argmin())
+            if off[i] < best:
+                best, pair = off[i], (i, int(j[i]))
+        if pair is None:
+            return
+        out, into = pair
+        excess += sizes[into] - own[out]
+        if out < len(taken):
+            p[taken[out]] = 0.0
+        if into:
+            p[left[into - 1]] = 1.0
 
 
 def _step(p: list[float], at: list[int], move: tuple[float, ...], draw: float) -> None:

@@ -263,4 +263,6 @@ def archive_pages(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataF
     files.create_dir(root, recursive=True)
     archives = land(write_archives(with_record_types(pages), folder, archive_bytes), "archives")
     runs = land(read_runs(archives, folder), "runs")
-    return merge_runs(runs, runs.count())
+    merged = merge_runs(runs, runs.count())
+    first = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return merged.select(*first, *[c for c in merged.columns if c not in first])

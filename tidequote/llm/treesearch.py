@@ -4,8 +4,12 @@ The tree is fitted on a bounded sample of directions; every row is then sent dow
 A query walks the tree best bin first: a priority queue holds the nodes met so far by their
 cosine to the query, and popped leaves are visited. How many leaves a query visits is calibrated:
 the exact neighbours of some queries are found by comparing them with all rows, and visits widen
-until they would have found ``TARGET_RECALL`` of these. Rows of crowded leaves and queries of
-crowded leaves are dealt over several tasks.
+until they would have found ``TARGET_RECALL`` of these. Visits are made in two rounds: the few
+best leaves of a query give a bound, and from the others only rows that reach it are reported.
+Rows of crowded leaves and queries of crowded leaves are dealt over several tasks.
+
+Leaves grow with the square root of the table, so that neither the leaves nor the rows in one
+become too many.
 """
 
 from __future__ import annotations
@@ -26,10 +30,11 @@ from tidequote.sources.landing import land
 SAMPLE_ROWS = 20_000
 BRANCHES = 8
 LEAF_ROWS = 256
+ROOTS_PER_LEAF = 4.0
 MIN_LEAF_SAMPLE = 8
 PROBES = 200
 TARGET_RECALL = 0.98
-ROWS_PER_TASK = 2048
+ROWS_PER_TASK = 16_384
 QUERIES_PER_TASK = 2048
 
 
@@ -108,20 +113,19 @@ def grow_tree(u: np.ndarray, leaf_rows: int, seed: int = 5) -> Tree:
     return Tree(np.array(centers), children, np.array(leaf))
 
 
-def best_of(ids: np.ndarray, x: np.ndarray, norms: np.ndarray, u: np.ndarray, own_id, q, q_norm, k: int):
-    """The ``k`` nearest rows to one query, ties to the smaller id: (ids, cosines).
+def best_of(ids: np.ndarray, x: np.ndarray, norms: np.ndarray, u: np.ndarray, own_id, q, q_norm, k: int, least=-2.0):
+    """The ``k`` nearest rows to one query, ties to the smaller id: (ids, cosines of at least ``least``).
 
     Candidates are found by one product; their cosines are then summed row by row, so equal
     vectors have equal cosines.
     """
     near = u @ (q / q_norm)
     near[ids == own_id] = -np.inf
-    if len(near) > k:
-        bound = np.partition(near, len(near) - k)[len(near) - k] - 1e-9
-        at = np.flatnonzero((near >= bound) & np.isfinite(near))
-    else:
-        at = np.flatnonzero(np.isfinite(near))
+    at = np.flatnonzero(near >= least - 1e-9)
+    if len(at) > k:
+        at = at[near[at] >= np.partition(near[at], len(at) - k)[len(at) - k] - 1e-9]
     exact = (x[at] * q).sum(1) / (norms[at] * q_norm)
+    at, exact = at[exact >= least], exact[exact >= least]
     order = np.lexsort((ids[at], -exact))[:k]
     return ids[at][order], exact[order]
 
@@ -196,9 +200,10 @@ def nearest(
     once = rows.groupBy("vec_id").agg(F.min("key").alias("key"))
     rows = rows.join(once, ["vec_id", "key"]).dropDuplicates(["vec_id", "key"]).select("vec_id", "vector", "norm")
 
+    leaf_rows = max(LEAF_ROWS, ROOTS_PER_LEAF * n**0.5)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
     u = np.stack([np.frombuffer(r["vector"], np.float64) / r["norm"] for r in sample])
-    tree = grow_tree(u, max(MIN_LEAF_SAMPLE, LEAF_ROWS * len(sample) // n))
+    tree = grow_tree(u, max(MIN_LEAF_SAMPLE, int(leaf_rows * len(sample) / n)))
     shared = spark.sparkContext.broadcast(tree)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,67 +214,86 @@ def nearest(
                 yield pa.record_batch([*batch.columns, leaf], names=["vec_id", "vector", "norm", "leaf"])
 
     rows = land(rows.mapInArrow(index, "vec_id long, vector binary, norm double, leaf long"), "index")
-    queries = rows.where(F.col("vec_id") % every == 0)
+    queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "vector", "norm")
     probes = queries.orderBy(F.xxhash64("vec_id", F.lit("probe")), "vec_id").limit(PROBES).collect()
     if not probes:
         return empty
     reach = _leaves_to_visit(tree, rows, probes, dim, k)
+    first = int(np.ceil(np.sqrt(reach)))
     sizes = {r["leaf"]: r["count"] for r in rows.groupBy("leaf").count().collect()}  # at most the tree's leaves
+    search = _Search(rows, shared, sizes, dim, k)
+    found = land(_top(search.visit(queries.withColumn("least", F.lit(-2.0)), 0, first), k), "found")
+    bounds = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("bound"))
+    bounded = queries.join(bounds, "vec_id", "left").withColumn("least", F.coalesce("bound", F.lit(-2.0))).drop("bound")
+    later = search.visit(bounded, first, reach)
+    return _top(found.drop("rank").unionByName(later), k).select("query_id", "rank", "vec_id", "score")
+
+
+class _Search:
+    """Visits ranges of the leaves that queries would visit, best first."""
+
+    def __init__(self, rows: DataFrame, tree, sizes: dict[int, int], dim: int, k: int):
+        self.rows, self.tree, self.sizes, self.dim, self.k = rows, tree, sizes, dim, k
+
+    def visits(self, queries: DataFrame, start: int, stop: int, counting: bool) -> DataFrame:
+        """One row per query and leaf, from the visit ``start`` to ``stop``, or on to ``k`` rows."""
+        shared, sizes, dim, k = self.tree, self.sizes, self.dim, self.k
+        names = ["leaf", "query_id"] if counting else ["leaf", "query_id", "q", "q_norm", "least"]
 
-    def visit(with_vector: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tree = shared.value
             for batch in batches:
+                if not batch.num_rows:
+                    continue
                 own = directions(matrix(batch.column("vector"), dim), batch.column("norm").to_numpy())
                 at, leaves = [], []
                 for i in range(len(own)):
                     seen = 0
                     for turn, leaf in enumerate(tree.visits(own[i])):
-                        if turn >= reach and seen > k:
+                        if turn >= stop and (seen > k or not start):
                             break
-                        if leaf in sizes:
-                            seen += sizes[leaf]
+                        seen += sizes.get(leaf, 0)
+                        if turn >= start and leaf in sizes:
                             at.append(i)
                             leaves.append(leaf)
                     if len(at) > 4096 or i == len(own) - 1:
                         part = batch.take(pa.array(at, pa.int64()))
-                        columns = [pa.array(leaves, pa.int64()), part.column("vec_id")]
-                        if with_vector:
-                            columns += [part.column("vector"), part.column("norm")]
-                        names = ["leaf", "query_id", "q", "q_norm"][: len(columns)]
-                        yield pa.record_batch(columns, names=names)
+                        yield pa.record_batch([pa.array(leaves, pa.int64()), *part.columns[: len(names) - 1]], names=names)
                         at, leaves = [], []
 
-        return run
-
-    counts = queries.mapInArrow(visit(False), "leaf long, query_id long").groupBy("leaf").count().collect()
-    asked = {r["leaf"]: r["count"] for r in counts}
-    parts = {a: (-(-sizes[a] // ROWS_PER_TASK), -(-asked[a] // QUERIES_PER_TASK)) for a in asked}
-    layout = spark.createDataFrame([(a, *p) for a, p in parts.items()], "leaf long, row_parts int, query_parts int")
-    layout = F.broadcast(layout)  # one row per leaf, at most SAMPLE_ROWS of them
-
-    def dealt(frame: DataFrame, id_name: str, own: str, other: str) -> DataFrame:
-        salt = F.pmod(F.xxhash64(id_name), F.col(own)).cast("int")
-        frame = frame.join(layout, "leaf").withColumn(own[:-6], salt)
-        frame = frame.withColumn(other[:-6], F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-        return frame.drop("row_parts", "query_parts")
-
-    of_rows = dealt(rows, "vec_id", "row_parts", "query_parts")
-    of_queries = queries.mapInArrow(visit(True), "leaf long, query_id long, q binary, q_norm double")
-    of_queries = dealt(of_queries, "query_id", "query_parts", "row_parts")
-
-    def search(here: pa.Table, asking: pa.Table) -> pa.Table:
-        out = []
-        if here.num_rows and asking.num_rows:
-            x, norms, ids = matrix(here.column("vector"), dim), here.column("norm").to_numpy(), here.column("vec_id").to_numpy()
-            u, q = directions(x, norms), matrix(asking.column("q"), dim)
-            pairs = zip(asking.column("query_id").to_numpy(), q, asking.column("q_norm").to_numpy(), strict=True)
-            for i, a, b in pairs:
-                found, near = best_of(ids, x, norms, u, i, a, b, k)
-                out.append((np.full(len(found), i), found, near))
-        return pa.Table.from_batches([_found(out)])
-
-    keys = ["leaf", "row", "query"]
-    together = of_rows.groupBy(*keys).cogroup(of_queries.groupBy(*keys))
-    found = together.applyInArrow(search, "query_id long, vec_id long, score double")
-    return _top(found, k).select("query_id", "rank", "vec_id", "score")
+        schema = ["leaf long", "query_id long", "q binary", "q_norm double", "least double"][: len(names)]
+        return queries.select("vec_id", "vector", "norm", "least").mapInArrow(run, ", ".join(schema))
+
+    def visit(self, queries: DataFrame, start: int, stop: int) -> DataFrame:
+        """(query_id, vec_id, score): the nearest rows of these leaves that reach the query's least."""
+        counts = self.visits(queries, start, stop, True).groupBy("leaf").count().collect()
+        asked = {r["leaf"]: r["count"] for r in counts}
+        parts = [(a, -(-self.sizes[a] // ROWS_PER_TASK), -(-asked[a] // QUERIES_PER_TASK)) for a in asked]
+        layout = self.rows.sparkSession.createDataFrame(parts, "leaf long, row_parts int, query_parts int")
+        layout = F.broadcast(layout)  # one row per leaf, at most SAMPLE_ROWS / MIN_LEAF_SAMPLE of them
+
+        def dealt(frame: DataFrame, id_name: str, own: str, other: str) -> DataFrame:
+            salt = F.pmod(F.xxhash64(id_name), F.col(f"{own}_parts")).cast("int")
+            frame = frame.join(layout, "leaf").withColumn(own, salt)
+            frame = frame.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)))
+            return frame.drop("row_parts", "query_parts")
+
+        dim, k = self.dim, self.k
+
+        def compare(here: pa.Table, asking: pa.Table) -> pa.Table:
+            out = []
+            if here.num_rows and asking.num_rows:
+                ids, norms = here.column("vec_id").to_numpy(), here.column("norm").to_numpy()
+                x, q = matrix(here.column("vector"), dim), matrix(asking.column("q"), dim)
+                u = directions(x, norms)
+                own = (asking.column(c).to_numpy() for c in ("query_id", "q_norm", "least"))
+                for i, b, least, a in zip(*own, q, strict=True):
+                    found, near = best_of(ids, x, norms, u, i, a, b, k, least)
+                    out.append((np.full(len(found), i), found, near))
+            return pa.Table.from_batches([_found(out)])
+
+        of_rows = dealt(self.rows, "vec_id", "row", "query")
+        of_queries = dealt(self.visits(queries, start, stop, False), "query_id", "query", "row")
+        keys = ["leaf", "row", "query"]
+        together = of_rows.groupBy(*keys).cogroup(of_queries.groupBy(*keys))
+        return together.applyInArrow(compare, "query_id long, vec_id long, score double")

@@ -35,11 +35,12 @@ ROWS = 1 << 14
 ROUNDS = 4
 BATCH = 8192
 RATE = 0.3
-SIGNATURE = 10
+SIGNATURE = 8
 HELD_ENTRIES = 1 << 21
 END = np.uint64(0)  # the hash that stands for the end of a text
 
-_FEATURES = 5
+_FEATURES = 4  # besides the bias, which is the last row of the weights
+_MANY = 16
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -125,7 +126,7 @@ class Model:
         self.rare, self.end, self.start = n, n + 1, n + 2
         number = np.arange(n + 3, dtype=np.uint64)
         self.rows = [
-            (mixed(number * np.uint64(8) + np.uint64(k)) % np.uint64(ROWS)).astype(np.int32) for k in range(3)
+            (mixed(number * np.uint64(8) + np.uint64(k)) % np.uint64(ROWS)).astype(np.uint16) for k in range(3)
         ]
         mass = np.bincount(self.of_class[:n], self.counts, CLASSES)
         self.within = np.log10(self.counts / np.maximum(mass[self.of_class[:n]], 1)) if n else np.empty(0)
@@ -146,39 +147,59 @@ class Model:
         return out
 
     def features(self, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """(tokens, features) of rows of the weights."""
+        """(tokens, features) of rows of the weights; small numbers, so that they sort by radix."""
         one, two, three = (self.before(ids, place, k) for k in (1, 2, 3))
         pair = mixed(two.astype(np.uint64) << np.uint64(32) | one.astype(np.uint64)) % np.uint64(ROWS)
-        bias = np.full(len(ids), ROWS, np.int32)
-        return np.stack([bias, self.rows[0][one], self.rows[1][two], self.rows[2][three], pair.astype(np.int32)], 1)
+        return np.stack([self.rows[0][one], self.rows[1][two], self.rows[2][three], pair.astype(np.uint16)], 1)
 
 
 def _class_probabilities(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     z = weights[features[:, 0]]
     for k in range(1, _FEATURES):
         z += weights[features[:, k]]
+    z += weights[ROWS]
     z -= z.max(1, keepdims=True)
     np.exp(z, out=z)
     z /= z.sum(1, keepdims=True)
     return z
 
 
+def _row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct rows, how often each occurs, sums of their values), feature by feature.
+
+    Most rows occur a few times in a batch: their first values are added at once, then their
+    second ones, and so on; the few frequent rows are summed on their own.
+    """
+    flat = rows.T.ravel()
+    order = np.argsort(flat, kind="stable")
+    ordered = flat[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    size = np.diff(np.append(first, len(flat)))
+    source = order % len(rows)
+    sums = values[source[first]]
+    for i in np.flatnonzero(size > _MANY):
+        sums[i] = values[source[first[i] : first[i] + size[i]]].sum(0)
+    left, k = np.flatnonzero((size > 1) & (size <= _MANY)), 1
+    while len(left):
+        sums[left] += values[source[first[left] + k]]
+        k += 1
+        left = left[size[left] > k]
+    return ordered[first], size, sums
+
+
 def update(weights: np.ndarray, moved: np.ndarray, seen: np.ndarray, features: np.ndarray, target: np.ndarray) -> None:
     """Gradient steps over tokens, in batches; each row has its own rate that falls as it moves."""
     for a in range(0, len(target), BATCH):
         own, y = features[a : a + BATCH], target[a : a + BATCH]
         error = _class_probabilities(weights, own)
         error[np.arange(len(y)), y] -= 1
-        rows = own[:, 1:].ravel()  # the bias, shared by all, is handled apart
-        order = np.argsort(rows, kind="stable")
-        ordered = rows[order]
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        at = np.append(ordered[first], ROWS)
-        slope = np.add.reduceat(error[order // (_FEATURES - 1)], first, axis=0)
+        at, times, slope = _row_sums(own, error)
+        at, times = np.append(at.astype(np.int64), ROWS), np.append(times, len(y))
         slope = np.concatenate([slope, error.sum(0, keepdims=True)])
-        seen[at] += np.append(np.diff(np.append(first, len(rows))), len(y))
-        moved[at] += (slope * slope).mean(1)
-        weights[at] -= RATE * slope / np.sqrt(moved[at] + 1.0)[:, None]
+        seen[at] += times
+        moved[at] += np.einsum("ij,ij->i", slope, slope) / CLASSES
+        slope *= (RATE / np.sqrt(moved[at] + 1.0)).astype(np.float32)[:, None]
+        weights[at] -= slope
 
 
 def _signatures(train: DataFrame, model: Model) -> np.ndarray:

@@ -25,7 +25,7 @@ from tidequote.sources.landing import land
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
-BLOCK_ROWS = 4000
+BLOCK_ROWS = 1000
 _EPS = 1e-9
 
 

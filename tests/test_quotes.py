@@ -95,23 +95,25 @@ def test_keys_are_independent(spark, mode):
                 assert got == quotes_by_seq(l3_to_l1(alone, mode))
 
 
-def _peers(spark, count=400):
+def _peers(spark, count=400, base=0):
     """A third of the rows share one seq_num, as many have none."""
     rng = random.Random(5)
     messages = random_messages(rng, count, orders=40)
     out = []
     for i, m in enumerate(messages):
-        seq = (200, None, m[0] * 3)[i % 3]
+        seq = (base + 200, None, base + m[0] * 3)[i % 3]
         out.append((seq, *m[1:], i % 2))
-    return messages_frame(spark, out, "venue").cache()
+    schema = messages_frame(spark, [], "venue").schema
+    return spark.createDataFrame([(o[0], START, *o[1:]) for o in out], schema).cache()
 
 
 @pytest.mark.parametrize("mode", MODES)
 @pytest.mark.parametrize("keys", [(), ("venue",)])
-def test_hot_seq_numbers_do_not_change_the_result(spark, mode, keys):
-    df = _peers(spark)
+@pytest.mark.parametrize("base", [0, SEQ - 28])
+def test_hot_seq_numbers_do_not_change_the_result(spark, mode, keys, base):
+    df = _peers(spark, base=base)
     plan = cut(df, 20, keys)
-    assert plan.hot_seqs == (200,) and plan.hot_nulls
+    assert plan.hot_seqs == (base + 200,) and plan.hot_nulls
     whole = SeqRanges(key_cols=tuple(keys))
 
     def rows(ranges):
@@ -176,6 +178,51 @@ def test_prices_that_are_not_positive_are_not_shown(spark):
         assert quotes_by_seq(l3_to_l1(messages_frame(spark, messages), mode)) == {}
 
 
+def _by_rule(messages, mode):
+    """Quotes of messages with ties and nulls: all up to each order value, peers included."""
+    order = sorted({m[0] for m in messages}, key=lambda s: (s is not None, s or 0))
+    rank = {s: k for k, s in enumerate(order)}
+    out = {}
+    for s in order:
+        seen = [m for m in messages if rank[m[0]] <= rank[s] and m[4] is not None and m[3]]
+        seen = [m for m in seen if m[1] in ("add", "update")]
+        bids, asks = ([m for m in seen if m[3] == side] for side in ("BUY", "SELL"))
+        if not bids or not asks:
+            continue
+        bid = max(bids, key=lambda m: (m[4], -rank[m[0]], m[5]))
+        ask = min(asks, key=lambda m: (m[4], rank[m[0]], -m[5]))
+        shown = {"BUY": (bid[4], bid[5]), "SELL": (ask[4], ask[5])}
+        if mode == "event_quote":
+            last = max(seen, key=lambda m: (rank[m[0]], m[3] == "BUY", m[4], m[5]))
+            shown[last[3]] = last[4:6]
+        out[s] = (*shown["BUY"], *shown["SELL"])
+    return out
+
+
+@pytest.mark.parametrize("mode", ["best_quote", "event_quote"])
+@pytest.mark.parametrize("seqs", [(0, None, 1, 2, 3), (-(2**63), None, -(2**63) + 1, 0, 2**63 - 1)])
+def test_ties_nulls_and_extremes(spark, mode, seqs):
+    rng = random.Random(3)
+    messages = [(rng.choice(seqs), *m[1:]) for m in random_messages(rng, 60, orders=20)]
+    schema = messages_frame(spark, []).schema
+    df = spark.createDataFrame([(m[0], START, *m[1:]) for m in messages], schema).cache()
+    for ranges in (SeqRanges(), cut(df, 10)):
+        got = l3_to_l1(df, mode, ranges=ranges).collect()
+        want = _by_rule(messages, mode)
+        assert {r.seq_num for r in got} == set(want)
+        for r in got:
+            assert (r.bid_price, r.bid_size, r.ask_price, r.ask_size) == want[r.seq_num]
+
+
+def test_peers_show_the_larger_size(spark):
+    null_first = [(None, "add", 1, "BUY", 100.0, 10), (None, "add", 2, "SELL", 105.0, 10)]
+    later = [(1, "add", 3, "BUY", 100.0, 5), (1, "add", 4, "SELL", 105.0, 5)]
+    peers = [(1, "add", 5, "BUY", 100.0, 7), (1, "add", 6, "SELL", 105.0, 7)]
+    for messages, size in ((null_first + later, 10), (later + peers, 7)):
+        got = quotes_by_seq(l3_to_l1(messages_frame(spark, [m for m in messages]), "best_quote").where("seq_num = 1"))
+        assert got == {1: (100.0, size, 105.0, size)}
+
+
 def test_empty_feed(spark):
     for mode in MODES:
         assert l3_to_l1(messages_frame(spark, []), mode).count() == 0

@@ -20,24 +20,45 @@ from tidequote.schema import BUY
 
 MODES = ("best_quote", "event_quote", "as_coded", "full_book")
 # Modes whose state is a few values per instrument, so that a stream can carry it.
-CARRIED_MODES = ("best_quote", "event_quote")
-
-
-def level(price: Column, first: Column, qty: Column) -> Column:
-    """A price with the size of the first message that reached it."""
-    return F.struct(price.alias("price"), first.alias("first"), qty.alias("qty"))
+CARRIED_MODES = ("best_quote", "event_quote", "as_coded")
+INT_MAX = (1 << 31) - 1
+ZEROS = {"price": 0.0, "qty": 0}
 
 
 def _bid(when: Column, price: Column, qty: Column) -> Column:
-    return F.when(when, level(price, -F.col("seq_num"), qty))
+    """Greatest is the highest price; of one price the first message, of peers the largest size.
+
+    A null order value comes before all others. Its bitwise complement turns the order of any long around.
+    """
+    seq = F.coalesce("seq_num", F.lit(0))
+    fields = {"price": price, "unnumbered": F.col("seq_num").isNull(), "first": F.bitwise_not(seq), "qty": qty}
+    return F.when(when, F.struct(*[c.alias(k) for k, c in fields.items()]))
 
 
 def _ask(when: Column, price: Column, qty: Column) -> Column:
-    return F.when(when, level(price, F.col("seq_num"), qty))
+    """Least is the lowest price; of one price as in ``_bid``."""
+    fields = {
+        "price": price,
+        "numbered": F.col("seq_num").isNotNull(),
+        "first": F.coalesce("seq_num", F.lit(0)),
+        "less": F.coalesce(F.bitwise_not(qty.cast("int")), F.lit(INT_MAX)),
+        "qty": qty,
+    }
+    return F.when(when, F.struct(*[c.alias(k) for k, c in fields.items()]))
 
 
 def quote_state(mode: str = "best_quote") -> list[Running]:
-    """What a quote depends on: best bid, best ask and, by event, the last quoting message."""
+    """What a quote depends on: best bid, best ask and, by event, the last quoting message.
+
+    Of quoting messages with one order value the last is a bid before an ask, then the one of
+    the higher price and of the larger size.
+    """
+    if mode == "as_coded":
+        buy, price, qty = F.col("is_buy"), F.col("price"), F.col("qty")
+        return [
+            Running("low_bid", F.min, _ask(buy & is_number(price), price, qty)),
+            Running("high_ask", F.max, _bid(~buy & is_number(price), price, qty)),
+        ]
     is_bid, price, qty = F.col("is_bid"), F.col("price"), F.col("qty")
     state = [
         Running("bid", F.max, _bid(is_bid, price, qty)),
@@ -81,42 +102,43 @@ def _emit(rows: DataFrame, quote: dict[str, Column], key_cols: Sequence[str]) ->
     ).where(two_sided())
 
 
-def _as_coded(
-    l3: DataFrame, key_cols: Sequence[str], ranges: SeqRanges | None
-) -> DataFrame:
-    """Every message read as an add; the bid only ever falls from 0, the ask only rises."""
+def _coded_messages(l3: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """Every message read as an add, with zeros where it is none."""
+    if "is_buy" in l3.columns:
+        return l3
     if "action" in l3.columns:
         is_add = F.col("action") == "add"
         source = {c: F.when(is_add, F.col(c)) for c in ("side", "price", "qty")}
     else:
         source = {c: F.col(f"add_{c}") for c in ("side", "price", "qty")}
-    zeros = {"price": F.lit(0.0), "qty": F.lit(0)}
-    adds = l3.select(
+    return l3.select(
         *key_cols,
         "seq_num",
         "time",
         source["side"].eqNullSafe(BUY).alias("is_buy"),
-        *[F.coalesce(source[c], zero).alias(c) for c, zero in zeros.items()],
+        *[F.coalesce(source[c], F.lit(zero)).alias(c) for c, zero in ZEROS.items()],
     )
+
+
+def _coded_quote() -> dict[str, Column]:
+    """The stored bid only ever falls from 0, the stored ask only rises."""
     buy, price, qty = F.col("is_buy"), F.col("price"), F.col("qty")
-    state = [
-        Running("low_bid", F.min, _ask(buy & is_number(price), price, qty)),
-        Running("high_ask", F.max, _bid(~buy & is_number(price), price, qty)),
-    ]
-    ranges = ranges or plan_ranges(adds, key_cols=key_cols)
-    rows = scan(adds, state, ranges, key_cols=key_cols)
     falls, rises = F.col("low_bid.price") < 0, F.col("high_ask.price") > 0
 
     def stored(name: str, moved: Column, field: str) -> Column:
-        return F.when(moved, F.col(f"{name}.{field}")).otherwise(zeros[field])
+        return F.when(moved, F.col(f"{name}.{field}")).otherwise(F.lit(ZEROS[field]))
 
-    quote = {
+    return {
         "bid_price": F.when(buy, price).otherwise(stored("low_bid", falls, "price")),
         "ask_price": F.when(buy, stored("high_ask", rises, "price")).otherwise(price),
         "bid_size": F.when(buy, qty).otherwise(stored("low_bid", falls, "qty")),
         "ask_size": F.when(buy, stored("high_ask", rises, "qty")).otherwise(qty),
     }
-    return _emit(rows, quote, key_cols)
+
+
+def carried_messages(l3: DataFrame, mode: str, key_cols: Sequence[str] = ()) -> DataFrame:
+    """What ``quote_state(mode)`` folds; rows that already have this shape pass through."""
+    return _coded_messages(l3, key_cols) if mode == "as_coded" else quote_messages(l3, key_cols)
 
 
 def l3_to_l1(
@@ -128,21 +150,19 @@ def l3_to_l1(
 ) -> DataFrame:
     """One Level-1 row per message once both sides are quoted, in ``seq_num`` order.
 
-    ``l3`` is the sixteen-column feed or its ``l3_messages`` form (for best_quote and
-    event_quote also ``quote_messages``); it is read several times, so land an input that
-    is costly to compute. ``opening`` is the quote state before the first message
-    (best_quote and event_quote).
+    ``l3`` is the sixteen-column feed or its ``l3_messages`` form (but for full_book also
+    ``carried_messages``); it is read several times, so land an input that
+    is costly to compute. ``opening`` is the quote state before the first message (all modes
+    but full_book).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     if opening is not None and mode not in CARRIED_MODES:
         raise ValueError(f"mode {mode!r} takes no opening state")
-    if mode == "as_coded":
-        return _as_coded(l3, key_cols, ranges)
     if mode == "full_book":
         messages = l3 if "action" in l3.columns else l3_messages(l3, key_cols)
         return _emit(full_book(messages, key_cols, ranges), _book_quote(), key_cols)
-    messages = quote_messages(l3, key_cols)
+    messages = carried_messages(l3, mode, key_cols)
     ranges = ranges or plan_ranges(messages, key_cols=key_cols)
     rows = scan(
         messages,
@@ -150,6 +170,7 @@ def l3_to_l1(
         ranges,
         key_cols=key_cols,
         opening=opening,
-        moves=F.col("is_bid").isNotNull(),
+        moves=None if mode == "as_coded" else F.col("is_bid").isNotNull(),
     )
-    return _emit(rows, _event_quote() if mode == "event_quote" else _best_quote(), key_cols)
+    quote = {"best_quote": _best_quote, "event_quote": _event_quote, "as_coded": _coded_quote}
+    return _emit(rows, quote[mode](), key_cols)

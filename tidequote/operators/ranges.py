@@ -10,13 +10,15 @@ from __future__ import annotations
 import json
 import math
 from bisect import bisect_left, bisect_right
-from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tidequote.sources.landing import land, landing_area
 
 RANGE = "_range"
 NULL_RANGE = -1
@@ -28,6 +30,7 @@ MAX_KEYED_RANGES = 1 << 14
 MAX_PARTITIONS = 1 << 15
 MIN_ROWS_TO_CUT = 1024
 SAMPLES_PER_RANGE = 32
+SAMPLES_PER_PART = 1 << 20
 # Keys are split that hold more than one in so many of the rows and more than one range's
 # worth; that is also about how many keys the plan may have to name.
 MAX_HOT_KEYS = 1 << 16
@@ -133,21 +136,50 @@ def _hot_keys(df: DataFrame, key_cols: Sequence[str], rows: int, rows_per_range:
     return tuple(sorted(r["key"] for r in hot.collect()))
 
 
-def _cuts(df: DataFrame, order_col: str, ranges: int, rows: int) -> tuple[list[int], bool]:
-    """``ranges - 1`` sampled quantiles, and whether nulls alone would fill a range."""
-    share = min(1.0, SAMPLES_PER_RANGE * ranges / rows)
-    points = _literal([i / ranges for i in range(1, ranges)], "double")
-    found = (
-        df.select(F.col(order_col).cast("long").alias("seq"))
-        .sample(share, seed=7)
-        .agg(
-            F.percentile_approx("seq", points, max(10000, 4 * ranges)).alias("cuts"),
-            F.count("*").alias("sampled"),
-            F.count_if(F.col("seq").isNull()).alias("nulls"),
+def _cuts(df: DataFrame, order_col: str, ranges: int, rows: int) -> tuple[list[int], list[int], bool]:
+    """(cut points, hot values, whether nulls alone would fill a range), from a sample.
+
+    Sampled values are counted as exact longs, so a frequent value travels as one row, and the
+    counts are summed up over ordered parts of the sample: no step depends on the number of
+    input partitions, and no value passes through a double. A value at which the running count
+    passes a multiple of a range's worth is a cut point; one that passes several is hot.
+    """
+    spark = df.sparkSession
+    expected = SAMPLES_PER_RANGE * ranges
+    sample = df.select(F.col(order_col).cast("long").alias("seq")).sample(min(1.0, expected / rows), seed=7)
+    parts = math.ceil(expected / SAMPLES_PER_PART)
+    with landing_area(spark):
+        counted = sample.groupBy("seq").agg(F.count("*").alias("n")).repartitionByRange(parts, "seq")
+        counted = land(counted.withColumn("part", F.spark_partition_id()), "sample")
+        per_part = counted.groupBy("part").agg(
+            F.sum("n").alias("n"), F.sum(F.when(F.col("seq").isNull(), F.col("n")).otherwise(0)).alias("nulls")
         )
-        .first()
-    )
-    return found["cuts"] or [], found["nulls"] * ranges > found["sampled"]
+        sizes = {r["part"]: (r["n"], r["nulls"]) for r in per_part.collect()}  # a few parts
+        nulls = sum(x for _, x in sizes.values())
+        total = sum(n for n, _ in sizes.values()) - nulls
+        if not total:
+            return [], [], nulls > 0
+        before, seen = [], 0
+        for part in range(parts):
+            before.append(seen)
+            n, without = sizes.get(part, (0, 0))
+            seen += n - without
+        in_part = Window.partitionBy("part").orderBy("seq")
+        upto = F.sum("n").over(in_part) + F.get(_literal(before, "bigint"), F.col("part"))
+
+        def passed(count: Column) -> Column:
+            return F.least(F.floor(count * ranges / F.lit(total)), F.lit(ranges - 1))
+
+        crossed = (
+            counted.where("seq is not null")
+            .select("seq", "n", upto.alias("upto"))
+            .select("seq", (passed(F.col("upto")) - passed(F.col("upto") - F.col("n"))).alias("crossed"))
+            .where("crossed > 0")
+            .collect()
+        )
+    cuts = sorted(r["seq"] for r in crossed)
+    hot = sorted(r["seq"] for r in crossed if r["crossed"] > 1)
+    return cuts, hot, nulls * ranges > total + nulls
 
 
 def plan_ranges(
@@ -159,6 +191,9 @@ def plan_ranges(
 ) -> SeqRanges:
     """Choose ranges for ``df``: a count, then at most two sampled one-column passes.
 
+    The caps on ranges and keys bound the plan, which names them. Beyond them a range holds more
+    than ``rows_per_range`` rows; windows spill then, and the book works in chunks.
+
     Small tables are cut into a range per ``min_rows``, up to one per shuffle partition.
 
     Without keys the whole table is cut. With keys only those holding more than
@@ -182,9 +217,8 @@ def plan_ranges(
         hot_keys = _hot_keys(df, keys, rows, rows_per_range)
     if ranges == 1 or (keys and not hot_keys):
         return SeqRanges(key_cols=keys, partitions=partitions)
-    sampled, hot_nulls = _cuts(df, order_col, ranges, rows)
-    hot_seqs = sorted(v for v, n in Counter(sampled).items() if n > 1)
-    cuts = sorted(set(sampled) | {v + 1 for v in hot_seqs if v < LONG_MAX})
+    found, hot_seqs, hot_nulls = _cuts(df, order_col, ranges, rows)
+    cuts = sorted(set(found) | {v + 1 for v in hot_seqs if v < LONG_MAX})
     return SeqRanges(
         cuts=tuple(cuts),
         hot_seqs=tuple(v for v in hot_seqs if v < LONG_MAX),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,18 +51,8 @@ def read_file_stream(
     max_files_per_trigger: int | None = None,
     clean_source: str | None = None,
     source_archive_dir: str | None = None,
-    cleanup_delay: int | None = None,
-    compact_interval: int | None = None,
 ) -> DataFrame:
-    """File-source stream of any format Spark reads, with intake limit and housekeeping.
-
-    ``cleanup_delay`` (milliseconds) and ``compact_interval`` (batches) belong to the
-    source's file log and are session settings in Spark.
-    """
-    if cleanup_delay is not None:
-        spark.conf.set("spark.sql.streaming.fileSource.log.cleanupDelay", str(cleanup_delay))
-    if compact_interval is not None:
-        spark.conf.set("spark.sql.streaming.fileSource.log.compactInterval", str(compact_interval))
+    """File-source stream of any format Spark reads, with intake limit and housekeeping."""
     reader = spark.readStream.format(file_format).schema(schema)
     if file_format == "csv":
         reader = reader.option("header", _flag(header)).option("sep", delimiter)
@@ -70,3 +63,28 @@ def read_file_stream(
     if source_archive_dir is not None:
         reader = reader.option("sourceArchiveDir", source_archive_dir)
     return reader.load(path)
+
+
+@contextmanager
+def file_log_settings(
+    spark: SparkSession, cleanup_delay: int | None = None, compact_interval: int | None = None
+) -> Iterator[None]:
+    """Settings of the source's file log, for streams started inside the block.
+
+    ``cleanup_delay`` (milliseconds) and ``compact_interval`` (batches) are session settings in
+    Spark; a stream takes them over when it starts, and the session gets its own ones back.
+    """
+    log = "spark.sql.streaming.fileSource.log"
+    wanted = {f"{log}.cleanupDelay": cleanup_delay, f"{log}.compactInterval": compact_interval}
+    wanted = {k: v for k, v in wanted.items() if v is not None}
+    own = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in own.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,10 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
-    return _local_dir.setdefault(app, tempfile.mkdtemp(prefix="tidequote-"))
+    if app not in _local_dir:
+        _local_dir[app] = tempfile.mkdtemp(prefix="tidequote-")
+    return _local_dir[app]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -39,16 +42,21 @@ def landing_area(spark: SparkSession) -> Iterator[str]:
         yield root
     finally:
         _area.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(spark, root)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is; the one place that needs the JVM's file systems."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
     Unlike a recomputed plan it is scanned with column pruning, counted from file footers,
-    and survives the loss of any executor. Outside a ``landing_area`` the table stays until
-    the owner of the folder removes it.
+    and survives the loss of any executor. The table belongs to the ``landing_area`` around the
+    call; outside of one it stays until the owner of the folder removes it.
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)

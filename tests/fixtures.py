@@ -12,20 +12,21 @@ SEQ = 1627942268920653000
 START = datetime(2021, 8, 3, 1, 0, 0)
 MESSAGE = "seq_num long, time timestamp, action string, order_id long, side string, price double, qty int"
 
-# (seq, order, side, price, qty, time) of adds, in file order: 172 stands before 171.
+# The golden Level-3 sample, (seq_num, order, side, price, qty, time) of adds in
+# file order. The second row comes before the first in seq_num order.
 SAMPLE = [
-    (172, 7456389231055194163, "BUY", 218.0, 300, "2021-08-02 22:11:21.94404"),
-    (171, 7455201758497478055, "BUY", 228.0, 50, "2021-08-02 22:11:21.94404"),
-    (173, 7457972527797789251, "BUY", 228.2, 300, "2021-08-03 01:00:01.107428"),
-    (174, 7457972527797789252, "SELL", 230.2, 300, "2021-08-03 01:00:01.107502"),
-    (175, 7457972527797789518, "BUY", 228.4, 300, "2021-08-03 01:00:01.326608"),
-    (176, 7457972527797790256, "BUY", 229.13, 1000, "2021-08-03 01:00:03.22333"),
-    (177, 7457972527797790258, "SELL", 229.35, 1000, "2021-08-03 01:00:03.225576"),
-    (178, 7457972527797790267, "BUY", 227.07, 5000, "2021-08-03 01:00:03.256427"),
-    (179, 7457972527797790268, "SELL", 231.42, 5000, "2021-08-03 01:00:03.256497"),
+    (1627942268920653172, 7456389231055194163, "BUY", 218.0, 300, "2021-08-02 22:11:21.94404"),
+    (1627942268920653171, 7455201758497478055, "BUY", 228.0, 50, "2021-08-02 22:11:21.94404"),
+    (1627942268920653173, 7457972527797789251, "BUY", 228.2, 300, "2021-08-03 01:00:01.107428"),
+    (1627942268920653174, 7457972527797789252, "SELL", 230.2, 300, "2021-08-03 01:00:01.107502"),
+    (1627942268920653175, 7457972527797789518, "BUY", 228.4, 300, "2021-08-03 01:00:01.326608"),
+    (1627942268920653176, 7457972527797790256, "BUY", 229.13, 1000, "2021-08-03 01:00:03.22333"),
+    (1627942268920653177, 7457972527797790258, "SELL", 229.35, 1000, "2021-08-03 01:00:03.225576"),
+    (1627942268920653178, 7457972527797790267, "BUY", 227.07, 5000, "2021-08-03 01:00:03.256427"),
+    (1627942268920653179, 7457972527797790268, "SELL", 231.42, 5000, "2021-08-03 01:00:03.256497"),
 ]
 
-# seq -> (bid, bid size, ask, ask size)
+# seq_num less SEQ -> (bid, bid size, ask, ask size)
 SAMPLE_QUOTES = {
     "best_quote": {
         174: (228.2, 300, 230.2, 300),
@@ -117,7 +118,7 @@ def wide_row(seq, action, order_id, side, price, qty, time) -> tuple:
 
 def sample_l3(spark: SparkSession):
     rows = [
-        wide_row(SEQ + s, "add", o, side, p, q, datetime.fromisoformat(t))
+        wide_row(s, "add", o, side, p, q, datetime.fromisoformat(t))
         for s, o, side, p, q, t in SAMPLE
     ]
     return spark.createDataFrame(rows, L3_SCHEMA)
@@ -128,7 +129,7 @@ def sample_csv(path) -> str:
     lines = [",".join(L3_SCHEMA.names)]
     for s, o, side, p, q, t in SAMPLE:
         price = f"{p:g}" if p == int(p) else str(p)
-        lines.append(f"{SEQ + s},{o},{side},{price},{q}{',' * 11}{t} UTC")
+        lines.append(f"{s},{o},{side},{price},{q}{',' * 11}{t} UTC")
     path.write_text("\n".join(lines) + "\n")
     return str(path)
 

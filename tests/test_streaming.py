@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from tidequote import L1_SCHEMA, L3_SCHEMA, BatchOptions, StreamOptions, run_batch, run_stream
 from tidequote.sinks.files import write_csv
 from tidequote.sources.files import read_csv, read_file_stream
-from tidequote.streaming.continuous import continuous_sink
+from tidequote.sources.landing import shared_dir
+from tidequote.streaming.continuous import continuous_sink, late_rows
 from tidequote.streaming.windowed import windowed_stream
 
 # (seq, side, price, qty, time) per file
@@ -186,9 +187,55 @@ def test_finished_files_are_archived(spark, tmp_path):
         time.sleep(0.2)
     assert len(archived) == 4
     assert [p.name for p in Path(source).glob("f*.csv")] == ["f4.csv"]
-    assert spark.conf.get("spark.sql.streaming.fileSource.log.compactInterval") == "1"
-    spark.conf.unset("spark.sql.streaming.fileSource.log.compactInterval")
-    spark.conf.unset("spark.sql.streaming.fileSource.log.cleanupDelay")
+    assert spark.conf.get("spark.sql.streaming.fileSource.log.compactInterval") != "1"
+
+
+@pytest.mark.parametrize(
+    "wrong",
+    [
+        {"drop_late": True},
+        {"window": "1 hour", "continuous": True},
+        {"window": "1 hour", "mode": "full_book"},
+        {"slide": "1 minute"},
+    ],
+)
+def test_options_that_exclude_each_other(tmp_path, wrong):
+    with pytest.raises(ValueError):
+        options(tmp_path, str(tmp_path), **wrong)
+
+
+def test_files_by_date_have_no_order():
+    with pytest.raises(ValueError):
+        BatchOptions("in", "out", ordered_files=True, by_date=True)
+
+
+def test_batches_leave_no_landed_tables(spark, tmp_path):
+    area = Path(shared_dir(spark)) / "tidequote"
+
+    def landed():
+        return {p for p in area.rglob("*.parquet")} if area.exists() else set()
+
+    before = landed()
+    source = write_feed(tmp_path / "in", LATE_FILES)
+    finish(spark, options(tmp_path, source, mode="full_book", max_files_per_trigger=2))
+    assert len(list((tmp_path / "out").glob("batch_id=*"))) >= 3
+    assert landed() <= before
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    source = write_feed(tmp_path / "in", LATE_FILES)
+    opts = options(tmp_path, source, continuous=True, drop_late=True)
+    finish(spark, opts)
+    assert late_rows(spark, f"{opts.checkpoint_dir}/quote_state") == 1
+
+
+def test_windowed_job(spark, tmp_path):
+    source = write_feed(tmp_path / "in", LATE_FILES)
+    opts = options(tmp_path, source, window="1 minute")
+    finish(spark, opts)
+    files = spark.read.option("header", "true").csv(opts.output_path).where("window_start is not null")
+    got = sorted((r.window_start, r.bid_price, r.ask_price, r.n) for r in files.collect())
+    assert [(b, a, n) for _, b, a, n in got] == [("10.0", "12.0", "2"), (None, "11.8", "1"), ("11.0", None, "2")]
 
 
 @pytest.mark.parametrize("mode", list(SAMPLE_QUOTES))

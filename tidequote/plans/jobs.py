@@ -12,12 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidequote.functions.text import partitions_for, row_text, total_bytes
 from tidequote.operators.quotes import l3_to_l1
+from tidequote.operators.windows import l1_windows
 from tidequote.schema import L3_SCHEMA, keyed_schema
 from tidequote.sinks.files import write_by_date, write_csv
-from tidequote.sources.files import read_csv, read_file_stream
+from tidequote.sources.files import file_log_settings, read_csv, read_file_stream
 from tidequote.sources.landing import land, land_measured, landing_area
 from tidequote.streaming.continuous import continuous_sink
-from tidequote.streaming.per_batch import l1_batch_sink
+from tidequote.streaming.per_batch import l1_batch_sink, window_batch_sink
 from tidequote.streaming.windowed import watermarked
 
 
@@ -36,6 +37,10 @@ class BatchOptions:
     ordered_files: bool = False
     by_date: bool = False
 
+    def __post_init__(self):
+        if self.by_date and self.ordered_files:
+            raise ValueError("files are either by date or in order")
+
 
 @dataclass(frozen=True)
 class BatchReport:
@@ -103,6 +108,16 @@ class StreamOptions:
     key_fields: Sequence[T.StructField] = ()
     continuous: bool = False
     drop_late: bool = False
+    window: str | None = None
+    slide: str | None = None
+
+    def __post_init__(self):
+        if self.window and (self.continuous or self.mode != "best_quote"):
+            raise ValueError("windows hold the best quote of the window and carry nothing on")
+        if self.slide and not self.window:
+            raise ValueError("slide needs a window")
+        if self.drop_late and not (self.continuous or self.window):
+            raise ValueError("a batch quoted on its own has no late rows; drop_late needs continuous")
 
 
 def run_stream(
@@ -110,8 +125,10 @@ def run_stream(
 ) -> StreamingQuery:
     """Start the directory stream; the caller awaits or stops the query.
 
-    Each micro-batch is quoted on its own, or from where the last one ended when
-    ``continuous``. ``available_now`` stops after what is in the directory.
+    Each micro-batch is quoted on its own, or from where the last one ended when ``continuous``.
+    With ``window`` the output is the best quote of every window (each ``slide``), written once
+    the watermark has passed it; rows behind the watermark are dropped. ``available_now`` stops
+    after what is in the directory.
     """
     keys = [f.name for f in options.key_fields]
     stream = watermarked(
@@ -125,23 +142,24 @@ def run_stream(
             options.max_files_per_trigger,
             options.clean_source,
             options.source_archive_dir,
-            options.cleanup_delay,
-            options.compact_interval,
         ),
         options.lateness,
     )
     out = {
-        "mode": options.mode,
-        "key_cols": keys,
         "block_size": options.block_size,
         "delimiter": options.output_delimiter,
         "header": options.output_header,
     }
+    if options.window:
+        stream = l1_windows(stream, options.window, options.slide, keys)
+        sink = window_batch_sink(options.output_path, **out)
+    else:
+        out |= {"mode": options.mode, "key_cols": keys}
     if options.continuous:
         late = options.lateness if options.drop_late else None
         state = f"{options.checkpoint_dir}/quote_state"
         sink = continuous_sink(options.output_path, state, drop_later_than=late, **out)
-    else:
+    elif not options.window:
         sink = l1_batch_sink(options.output_path, **out)
     writer = (
         stream.writeStream.outputMode(options.output_mode)
@@ -150,4 +168,5 @@ def run_stream(
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    with file_log_settings(spark, options.cleanup_delay, options.compact_interval):
+        return writer.start()

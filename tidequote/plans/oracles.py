@@ -43,7 +43,34 @@ _WIDE = """
   from l3
 """
 
-_BATCH = "case when day(time) <= 10 then 0 when day(time) <= 20 then 1 else 2 end"
+_BATCH = "seq_num * 3 // (select max(event_id) + 1 from events)"
+
+
+def _tied(mode: str) -> str:
+    """Running values over peers; the first message at a price is that of the least order value,
+    nulls before all, and of its peers the one of the larger size."""
+    ctes = _quoted(mode).replace(
+        "order by seq_num rows between unbounded preceding and current row",
+        "order by seq_num nulls first range between unbounded preceding and current row",
+    )
+    for first in ("'s': -seq_num, 'q': ", "'s': seq_num, 'q': "):
+        sign = "-" if "-" in first else ""
+        more = "" if sign else "'m': -{q}, "
+        for q in ("qty", "sz"):
+            ctes = ctes.replace(
+                f"{first}{q}", f"'s': {sign}coalesce(seq_num, -1), {more.format(q=q)}'q': {q}"
+            )
+    feed = _L3.replace("l3 as (", "l3_all as (") + (
+        ", l3 as (select * replace (case when instrument <> 7 then seq_num // 4 end as seq_num) from l3_all)"
+    )
+    return f"with {feed}, {ctes} select * from l1 where bid_price > 0 and ask_price > 0"
+
+
+def _skewed(ctes: str) -> str:
+    feed = _L3.replace("l3 as (", "l3_all as (") + (
+        ", l3 as (select * replace (greatest(instrument - 5, 0) as instrument) from l3_all)"
+    )
+    return f"with {feed}, {ctes} select * from l1 where bid_price > 0 and ask_price > 0"
 
 
 def _quoted(mode: str, keys: str = "") -> str:
@@ -223,6 +250,12 @@ def oracle_sql() -> dict[str, str]:
         "l1_event_quote_keyed": _two_sided(_quoted("event_quote", key)),
         "l1_as_coded_keyed": _two_sided(_quoted("as_coded", key)),
         "l1_full_book_keyed": _two_sided(_book(key)),
+        "l1_best_quote_split": _two_sided(best),
+        "l1_full_book_split": _two_sided(_book()),
+        "l1_best_quote_keyed_split": _skewed(_quoted("best_quote", key)),
+        "l1_full_book_keyed_split": _skewed(_book(key)),
+        "l1_best_quote_tied": _tied("best_quote"),
+        "l1_as_coded_tied": _tied("as_coded"),
         "l1_window_tumbling": _windows(60, 60),
         "l1_window_sliding": _windows(60, 15),
         "l1_window_sliding_keyed": _windows(
@@ -249,6 +282,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_l1_per_batch_keyed": per_batch("event_quote", f"{key}, batch_id"),
         "stream_l1_continuous": with_batch("best_quote"),
         "stream_l1_continuous_keyed": with_batch("event_quote", key),
+        "stream_l1_continuous_as_coded": with_batch("as_coded"),
+        "stream_archive_scan": wide,
+        "stream_job_window": _windows(60, 15, where=_CLOSED),
         "stream_l1_window": _windows(60, 60, where=_CLOSED),
         "stream_l1_window_sliding": _windows(60, 15, where=_CLOSED),
         "stream_late_rows": _windows(

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from tidequote.functions.messages import l3_messages
 from tidequote.functions.text import partitions_for, row_text, total_bytes, with_text_times
 from tidequote.operators.quotes import l3_to_l1
-from tidequote.operators.sizing import output_size, payload_bytes, spread
+from tidequote.operators.ranges import plan_ranges
+from tidequote.operators.sizing import output_partitions, output_size, payload_bytes, spread
 from tidequote.operators.windows import l1_windows
 from tidequote.plans.jobs import BatchOptions, StreamOptions, run_batch, run_stream
 from tidequote.schema import L1_SCHEMA, L3_SCHEMA, keyed_schema
@@ -31,7 +32,18 @@ KEY = "instrument"
 KEY_FIELD = T.StructField(KEY, T.LongType())
 # Files of this many MiB in the sizing queries, small enough to give several at any scale.
 SMALL_BLOCK = 1
-CSV_FILES = 8
+WINDOW_SCHEMA = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("bid_price", T.DoubleType()),
+        T.StructField("ask_price", T.DoubleType()),
+        T.StructField("bid_size", T.IntegerType()),
+        T.StructField("ask_size", T.IntegerType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
 FORMATS = ("csv", "json", "parquet", "orc")
 
 
@@ -80,15 +92,44 @@ def _quotes(mode: str, *keys: str) -> Query:
     return lambda spark, sf_dir: _plain_times(l3_to_l1(_l3(spark, sf_dir), mode, keys))
 
 
+def _split_quotes(mode: str, *keys: str) -> Query:
+    """The quotes with ranges of a twentieth of the feed and, with keys, one that holds most of it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        l3 = _l3(spark, sf_dir)
+        if keys:
+            l3 = land(l3.withColumn(KEY, F.greatest(F.col(KEY) - 5, F.lit(0))), "skewed")
+        l3 = l3_messages(l3, keys)
+        ranges = plan_ranges(l3, key_cols=keys, rows_per_range=l3.count() // 20 + 1)
+        return _plain_times(l3_to_l1(l3, mode, keys, ranges))
+
+    return query
+
+
+def _tied_quotes(mode: str) -> Query:
+    """Four messages share each order value, and some users' messages have none."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        l3 = _l3(spark, sf_dir)
+        seq = F.when(F.col(KEY) != 7, F.floor(F.col("seq_num") / 4))
+        return _plain_times(l3_to_l1(land(l3.withColumn("seq_num", seq), "tied"), mode))
+
+    return query
+
+
 def _windows(width: str, slide: str | None = None, *keys: str, both_sides: bool = False) -> Query:
     return lambda spark, sf_dir: _plain_times(
         l1_windows(_l3(spark, sf_dir), width, slide, keys, both_sides)
     )
 
 
+def _files(df: DataFrame, delimiter: str = ",") -> int:
+    return output_partitions(df, SMALL_BLOCK, delimiter)
+
+
 def _csv_of(spark: SparkSession, df: DataFrame, delimiter: str = ",") -> str:
     path = fresh_path(spark, "csv")
-    write_csv(df, path, CSV_FILES, delimiter)
+    write_csv(df, path, _files(df, delimiter), delimiter)
     return path
 
 
@@ -104,13 +145,15 @@ def _csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _csv_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "ordered")
-    write_csv(l3_to_l1(_l3(spark, sf_dir)), path, CSV_FILES, ";", False, order_col="seq_num")
+    l1 = land(l3_to_l1(_l3(spark, sf_dir)), "l1")
+    write_csv(l1, path, _files(l1, ";"), ";", False, order_col="seq_num")
     return _plain_times(read_csv(spark, path, L1_SCHEMA, ";", False))
 
 
 def _csv_write_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "by-date")
-    write_by_date(l3_to_l1(_l3(spark, sf_dir)), path, CSV_FILES)
+    l1 = land(l3_to_l1(_l3(spark, sf_dir)), "l1")
+    write_by_date(l1, path, _files(l1))
     dated = keyed_schema(L1_SCHEMA, [T.StructField("trade_date", T.DateType())])
     return _plain_times(read_csv(spark, path, dated))
 
@@ -148,14 +191,15 @@ def _stream_scan(file_format: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed = _feed(_l3(spark, sf_dir))
         source, sink = fresh_path(spark, "feed"), fresh_path(spark, "streamed")
+        files = _files(feed)
         if file_format == "csv":
-            write_csv(feed, source, CSV_FILES)
+            write_csv(feed, source, files)
         else:
             # Spark's JSON writer, like its CSV writer, keeps only milliseconds of a timestamp.
-            files = with_text_times(feed) if file_format == "json" else feed
-            files.repartition(CSV_FILES).write.format(file_format).save(source)
+            rows = with_text_times(feed) if file_format == "json" else feed
+            rows.repartition(files).write.format(file_format).save(source)
         stream = read_file_stream(
-            spark, source, L3_SCHEMA, file_format, max_files_per_trigger=CSV_FILES // 2
+            spark, source, L3_SCHEMA, file_format, max_files_per_trigger=-(-files // 2)
         )
         query = (
             stream.writeStream.outputMode("append")
@@ -177,9 +221,11 @@ def _deliveries(feed: DataFrame, parts: list, source: str):
         yield
 
 
-def _ten_day_parts() -> list:
-    day = F.dayofmonth("time")
-    return [day <= 10, (day > 10) & (day <= 20), day > 20]
+def _thirds(feed: DataFrame) -> list:
+    """The feed in three parts by order value; rows without one come first."""
+    last = feed.agg(F.max("seq_num").alias("last")).first()["last"] or 0
+    third = F.coalesce(F.floor(F.col("seq_num") * 3 / F.lit(last + 1)), F.lit(0))
+    return [third <= 0, third == 1, third >= 2]
 
 
 def _stream_job(keys: bool = False, **options) -> Query:
@@ -197,7 +243,7 @@ def _stream_job(keys: bool = False, **options) -> Query:
             key_fields=fields,
             **options,
         )
-        for _ in _deliveries(feed, _ten_day_parts(), job.input_stream_dir):
+        for _ in _deliveries(feed, _thirds(feed), job.input_stream_dir):
             run_stream(spark, job, available_now=True).awaitTermination()
         schema = T.StructType(
             [*fields, *L1_SCHEMA.fields, T.StructField("batch_id", T.LongType())]
@@ -215,7 +261,7 @@ def _stream_windows(width: str, slide: str | None, late: bool) -> Query:
         source, sink = fresh_path(spark, "arriving"), fresh_path(spark, "windows")
         progress = fresh_path(spark, "progress")
         is_delete = F.col("delete_order_id").isNotNull()
-        parts = [~is_delete, is_delete] if late else _ten_day_parts()
+        parts = [~is_delete, is_delete] if late else _thirds(feed)
         for _ in _deliveries(feed, parts, source):
             stream = read_file_stream(spark, source, L3_SCHEMA, "parquet")
             query = (
@@ -232,6 +278,47 @@ def _stream_windows(width: str, slide: str | None, late: bool) -> Query:
     return query
 
 
+def _stream_window_job(width: str, slide: str) -> Query:
+    """The stream job with windowed output."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed = _feed(_l3(spark, sf_dir))
+        job = StreamOptions(
+            input_stream_dir=fresh_path(spark, "arriving"),
+            output_path=fresh_path(spark, "windows"),
+            checkpoint_dir=fresh_path(spark, "progress"),
+            input_file_format="parquet",
+            max_files_per_trigger=None,
+            window=width,
+            slide=slide,
+        )
+        for _ in _deliveries(feed, _thirds(feed), job.input_stream_dir):
+            run_stream(spark, job, available_now=True).awaitTermination()
+        return _plain_times(read_csv(spark, job.output_path, WINDOW_SCHEMA)).drop("batch_id")
+
+    return query
+
+
+def _stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream the feed with archiving on, then read what is archived and what is left."""
+    feed = _feed(_l3(spark, sf_dir))
+    root = fresh_path(spark, "archiving")
+    source, archive = f"{root}/in", f"{root}/done"
+    job = StreamOptions(
+        input_stream_dir=source,
+        output_path=f"{root}/quotes",
+        checkpoint_dir=f"{root}/progress",
+        input_file_format="parquet",
+        clean_source="archive",
+        source_archive_dir=archive,
+        compact_interval=2,
+    )
+    for _ in _deliveries(feed, _thirds(feed), source):
+        run_stream(spark, job, available_now=True).awaitTermination()
+    both = spark.read.schema(L3_SCHEMA).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return _plain_times(both.parquet(source).unionByName(both.parquet(archive)))
+
+
 def _batch_job(mode: str, keys: bool = False, **options) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         fields = (KEY_FIELD,) if keys else ()
@@ -264,6 +351,12 @@ def queries() -> dict[str, Query]:
         "l1_event_quote_keyed": _quotes("event_quote", KEY),
         "l1_as_coded_keyed": _quotes("as_coded", KEY),
         "l1_full_book_keyed": _quotes("full_book", KEY),
+        "l1_best_quote_split": _split_quotes("best_quote"),
+        "l1_full_book_split": _split_quotes("full_book"),
+        "l1_best_quote_keyed_split": _split_quotes("best_quote", KEY),
+        "l1_full_book_keyed_split": _split_quotes("full_book", KEY),
+        "l1_best_quote_tied": _tied_quotes("best_quote"),
+        "l1_as_coded_tied": _tied_quotes("as_coded"),
         "l1_window_tumbling": _windows("1 hour"),
         "l1_window_sliding": _windows("1 hour", "15 minutes"),
         "l1_window_sliding_keyed": _windows("6 hours", "1 hour", KEY, both_sides=True),
@@ -280,6 +373,9 @@ def queries() -> dict[str, Query]:
         "stream_l1_per_batch_keyed": _stream_job(keys=True, mode="event_quote"),
         "stream_l1_continuous": _stream_job(continuous=True),
         "stream_l1_continuous_keyed": _stream_job(keys=True, continuous=True, mode="event_quote"),
+        "stream_l1_continuous_as_coded": _stream_job(continuous=True, mode="as_coded"),
+        "stream_archive_scan": _stream_archive,
+        "stream_job_window": _stream_window_job("1 hour", "15 minutes"),
         "stream_l1_window": _stream_windows("1 hour", None, late=False),
         "stream_l1_window_sliding": _stream_windows("1 hour", "15 minutes", late=False),
         "stream_late_rows": _stream_windows("1 hour", None, late=True),

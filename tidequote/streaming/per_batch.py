@@ -12,6 +12,7 @@ from tidequote.operators.quotes import l3_to_l1
 from tidequote.operators.ranges import SeqRanges, plan_ranges
 from tidequote.operators.sizing import output_partitions
 from tidequote.sinks.files import write_batch_csv
+from tidequote.sources.landing import landing_area
 
 # A micro-batch of fewer rows is done sooner by one task than after being cut.
 ROWS_TO_CUT = 1 << 17
@@ -46,9 +47,21 @@ def l1_batch_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            l1 = l3_to_l1(batch, mode, key_cols, batch_ranges(batch, key_cols))
-            write_sized_batch(l1, batch_id, path, block_size, delimiter, header)
+            with landing_area(batch.sparkSession):
+                l1 = l3_to_l1(batch, mode, key_cols, batch_ranges(batch, key_cols))
+                write_sized_batch(l1, batch_id, path, block_size, delimiter, header)
         finally:
             batch.unpersist()
 
     return write
+
+
+def window_batch_sink(
+    path: str, block_size: int = 128, delimiter: str = ",", header: bool | str = True
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for the windows that a micro-batch closes: sized CSV."""
+
+    def write(windows: DataFrame, batch_id: int) -> None:
+        write_sized_batch(windows, batch_id, path, block_size, delimiter, header)
+
+    return write

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidequote import l1_windows
 from tidequote.functions.messages import quote_messages
+from tidequote.operators.quotes import first_at_price
 
 
 def _cells(df):
@@ -58,3 +59,31 @@ def test_keys(spark):
     for k in range(3):
         alone = l1_windows(df.where(F.col("venue") == k), "10 seconds", "5 seconds")
         assert _cells(keyed.where(F.col("venue") == k)) == _cells(alone)
+
+
+def test_a_batch_is_folded_without_a_sort(spark):
+    plan = l1_windows(sample_l3(spark), "1 hour", "15 minutes")._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.rfind("HashAggregate") :]
+    assert "SortAggregate" not in first and "Sort [" not in first
+
+
+def test_first_at_price(spark):
+    rng = random.Random(4)
+    seqs = [None, -(2**63), -1, 0, 1, 2**63 - 1]
+    rows = [
+        (rng.choice(seqs), rng.random() < 0.5, float(rng.randint(1, 3)), rng.choice([None, 0, 5, 2**31 - 1]), rng.randint(0, 2))
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(rows, "seq_num long, is_bid boolean, price double, qty int, g int")
+    got = {(r.g, r.is_bid, r.price): (r.seq_num, r.qty, r.n) for r in first_at_price(df, ["g"], F.count("*").alias("n")).collect()}
+    want = {}
+    for seq, bid, price, qty, g in rows:
+        key = (g, bid, price)
+        order = (seq is not None, seq or 0, -1 if qty is None else -qty - 2)
+        old = want.get(key)
+        best = min([order] + ([old[0]] if old else []), key=lambda o: (o[0], o[1], 1 if o[2] == -1 else o[2]))
+        want[key] = (best, (old[1] if old else 0) + 1)
+    for key, (order, n) in want.items():
+        seq = order[1] if order[0] else None
+        qty = None if order[2] == -1 else -order[2] - 2
+        assert got[key] == (seq, qty, n)

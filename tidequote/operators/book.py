@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidequote.functions.messages import is_number
-from tidequote.operators.cover import range_quotes
+from tidequote.operators.cover import partition_quotes
 from tidequote.operators.ranges import RANGE, SeqRanges, plan_ranges
 from tidequote.operators.scan import Running, join_states, scan
 from tidequote.schema import BUY, SELL
@@ -232,10 +232,9 @@ def full_book(
             for c, t in (("price", T.DoubleType()), ("size", T.LongType()))
         ]
     )
+    in_order = ranges.place(rows).sortWithinPartitions(*group, "at", F.col("side") == 0)
     quotes = (
-        ranges.place(rows)
-        .groupBy(*group)
-        .applyInPandas(range_quotes(keys), result)
+        in_order.mapInPandas(partition_quotes(group, keys, OPENING_AT), result)
         .select(
             *keys,
             F.nullif("at", F.lit(FIRST_AT)).alias("seq_num"),

@@ -1,9 +1,9 @@
-"""Best live level after each message of one range: the grouped-map step of the full book."""
+"""Best live level after each message, range by range: the Python step of the full book."""
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,30 +31,67 @@ def best_cover(start: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
     return best
 
 
-def range_quotes(names: list[str]) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
-    """Grouped-map function: the quotes of one (keys, range)."""
-
-    def quotes(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        asked = rows[rows["side"] == 0]
-        at = np.unique(asked["at"].to_numpy())
-        where = np.searchsorted(at, asked["at"].to_numpy())
-        out = pd.DataFrame(dict.fromkeys(names), index=asked.index)
-        for name, value in zip(names, key[:-1]):
-            out[name] = value
-        out["at"], out["micros"] = asked["at"], asked["micros"]
-        for prefix, sign in (("bid", 1), ("ask", -1)):
-            moves = rows[rows["side"] == sign]
-            worth, when = moves["price"].to_numpy() * sign, moves["at"].to_numpy()
-            order = np.lexsort((when, worth))
-            worth, start = worth[order], np.searchsorted(at, when[order])
-            size = moves["amount"].iloc[order].groupby(worth).cumsum().to_numpy()
-            last = np.append(worth[1:] != worth[:-1], True)[: len(worth)]
-            end = np.where(last, len(at), np.append(start[1:], 0)[: len(start)])
-            live = (size > 0) & (start < end)
-            best = best_cover(start[live], end[live], len(at))[where]
-            price = np.append(worth[live] * sign, np.nan)
-            out[f"{prefix}_price"] = price[best]
-            out[f"{prefix}_size"] = np.append(size[live], 0)[best]
-        return out
+CHUNK_ROWS = 1 << 18
+
+
+def _chunk_quotes(rows: pd.DataFrame) -> pd.DataFrame:
+    """The quotes of the asking rows of a chunk, whose first rows open its levels."""
+    asked = rows[rows["side"] == 0]
+    at = np.unique(asked["at"].to_numpy())
+    where = np.searchsorted(at, asked["at"].to_numpy())
+    out = pd.DataFrame(index=asked.index)
+    out["at"], out["micros"] = asked["at"], asked["micros"]
+    for prefix, sign in (("bid", 1), ("ask", -1)):
+        moves = rows[rows["side"] == sign]
+        worth, when = moves["price"].to_numpy() * sign, moves["at"].to_numpy()
+        order = np.lexsort((when, worth))
+        worth, start = worth[order], np.searchsorted(at, when[order])
+        size = moves["amount"].iloc[order].groupby(worth).cumsum().to_numpy()
+        last = np.append(worth[1:] != worth[:-1], True)[: len(worth)]
+        end = np.where(last, len(at), np.append(start[1:], 0)[: len(start)])
+        live = (size > 0) & (start < end)
+        best = best_cover(start[live], end[live], len(at))[where]
+        price = np.append(worth[live] * sign, np.nan)
+        out[f"{prefix}_price"] = price[best]
+        out[f"{prefix}_size"] = np.append(size[live], 0)[best]
+    return out
+
+
+def _closing(rows: pd.DataFrame, opening_at: int) -> pd.DataFrame:
+    """The levels that a chunk leaves, as the opening rows of the next."""
+    moves = rows[rows["side"] != 0]
+    left = moves.groupby(["side", "price"], as_index=False)["amount"].sum()
+    left = left[left["amount"] != 0]
+    return left.assign(at=opening_at, micros=0)
+
+
+def partition_quotes(
+    group: list[str], names: list[str], opening_at: int, chunk_rows: int = CHUNK_ROWS
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Quotes of a partition whose rows are in order of (group, at), moves before asking rows.
+
+    Rows are worked on in chunks of at most ``chunk_rows``; between the chunks of a group only
+    its levels are kept, so memory depends on the depth of the book and not on the group.
+    """
+
+    def quotes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, levels = None, None
+        for batch in batches:
+            for first in range(0, len(batch), chunk_rows):
+                part = batch.iloc[first : first + chunk_rows]
+                keys = list(part[group].astype(object).where(part[group].notna(), None).itertuples(index=False, name=None))
+                cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+                for a, b in zip(cuts, cuts[1:]):
+                    own = part.iloc[a:b]
+                    if keys[a] != of:
+                        of, levels = keys[a], None
+                    if levels is not None and len(levels):
+                        own = pd.concat([levels[own.columns.intersection(levels.columns)], own], ignore_index=True)
+                    if (own["side"] == 0).any():
+                        out = _chunk_quotes(own)
+                        for name, value in zip(names, of):
+                            out.insert(0, name, value)
+                        yield out[[*names, *[c for c in out.columns if c not in names]]]
+                    levels = _closing(own, opening_at)
 
     return quotes

@@ -23,6 +23,11 @@ MODES = ("best_quote", "event_quote", "as_coded", "full_book")
 CARRIED_MODES = ("best_quote", "event_quote", "as_coded")
 INT_MAX = (1 << 31) - 1
 ZEROS = {"price": 0.0, "qty": 0}
+# Packing of (order value, size): sizes count down from the largest, a missing one is last.
+_NUMBER = "decimal(20,0)"
+BEFORE_ALL = str(-(1 << 63) - 1)
+NO_SIZE = 1 << 32
+SIZES = 1 << 33
 
 
 def _bid(when: Column, price: Column, qty: Column) -> Column:
@@ -70,6 +75,27 @@ def quote_state(mode: str = "best_quote") -> list[Running]:
     return state
 
 
+def first_at_price(messages: DataFrame, by: Sequence[str], *more: Column) -> DataFrame:
+    """Of each group, side and price the message that ``quote_state`` would keep.
+
+    Order value and size are packed into one decimal, whose minimum a hash aggregate can hold,
+    so that messages are not sorted to be folded; what is left are price levels. ``more`` are
+    further aggregates of a group, side and price.
+    """
+    sizes, before_all = F.lit(SIZES).cast("decimal(11,0)"), F.lit(BEFORE_ALL).cast(_NUMBER)
+    number = F.coalesce(F.col("seq_num").cast(_NUMBER), before_all)
+    size = F.coalesce(F.lit(INT_MAX).cast("long") - F.col("qty"), F.lit(NO_SIZE))
+    packed = F.min(number * sizes + size.cast("decimal(11,0)")).alias("_packed")
+    levels = messages.groupBy(*by, "is_bid", "price").agg(packed, *more)
+    size = F.pmod(F.col("_packed"), sizes)
+    number = ((F.col("_packed") - size) / sizes).cast(_NUMBER)
+    return levels.select(
+        "*",
+        F.when(number != before_all, number).cast("long").alias("seq_num"),
+        F.when(size != NO_SIZE, (F.lit(INT_MAX) - size).cast("long")).cast("int").alias("qty"),
+    ).drop("_packed")
+
+
 def _best_quote() -> dict[str, Column]:
     return {
         "bid_price": F.col("bid.price"),
@@ -171,6 +197,7 @@ def l3_to_l1(
         key_cols=key_cols,
         opening=opening,
         moves=None if mode == "as_coded" else F.col("is_bid").isNotNull(),
+        reduce=first_at_price if mode == "best_quote" else None,
     )
     quote = {"best_quote": _best_quote, "event_quote": _event_quote, "as_coded": _coded_quote}
     return _emit(rows, quote[mode](), key_cols)

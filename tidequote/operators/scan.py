@@ -11,9 +11,9 @@ result does not depend on how the input happens to be laid out.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,11 +35,23 @@ class Running:
     before: bool = False
 
 
+Reduce = Callable[[DataFrame, Sequence[str]], DataFrame]
+
+
 def summarise(
-    df: DataFrame, running: Sequence[Running], by: Sequence[str], moves: Column | None = None
+    df: DataFrame,
+    running: Sequence[Running],
+    by: Sequence[str],
+    moves: Column | None = None,
+    reduce: Reduce | None = None,
 ) -> DataFrame:
-    """One row per group, combined on the map side; rows that do not pass ``moves`` add nothing."""
+    """One row per group, combined on the map side; rows that do not pass ``moves`` add nothing.
+
+    ``reduce`` leaves fewer rows of a group with the same folds.
+    """
     rows = df if moves is None else df.where(moves)
+    if reduce is not None:
+        rows = reduce(rows, by)
     return rows.groupBy(*by).agg(*[r.fold(r.value).alias(r.name) for r in running])
 
 
@@ -75,6 +87,7 @@ def scan(
     opening: DataFrame | None = None,
     moves: Column | None = None,
     placed: bool = False,
+    reduce: Reduce | None = None,
 ) -> DataFrame:
     """``df`` plus one column per running aggregate.
 
@@ -88,7 +101,7 @@ def scan(
     carries, hot_rows = [], None
 
     if ranges.is_split:
-        parts = summarise(rows.where(ranges.key_is_split()), running, group, moves)
+        parts = summarise(rows.where(ranges.key_is_split()), running, group, moves, reduce)
         if opening is not None:
             held = opening.where(ranges.key_is_split()).withColumn(RANGE, F.lit(OPENING_RANGE))
             parts = parts.unionByName(held)
@@ -148,7 +161,7 @@ def join_states(rows: DataFrame, states: DataFrame, on: list[str], one_per_range
     broadcast; otherwise Spark chooses, and adaptive execution splits a skewed left side.
     """
     right = states.withColumnsRenamed({c: f"_right_{c}" for c in on})
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    match = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
     return rows.join(F.broadcast(right) if one_per_range else right, match, "left").drop(
         *[f"_right_{c}" for c in on]
     )

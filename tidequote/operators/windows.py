@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidequote.functions.messages import quote_messages, two_sided
-from tidequote.operators.quotes import quote_state
+from tidequote.operators.quotes import first_at_price, quote_state
 
 
 def _micros(duration: str) -> int:
@@ -44,15 +44,18 @@ def l1_windows(
     """Best bid, best ask, their sizes and the message count of each window.
 
     A batch sliding window is built from panes of one slide each, so a row is folded once
-    instead of once per window it falls in; only panes are repeated.
+    instead of once per window it falls in; only panes are repeated. A batch is folded by price
+    first, without a sort of its messages. Rows without a time are in no window.
     """
     messages = quote_messages(l3, key_cols)
     by = [*key_cols, "window"]
     panes = slide and not l3.isStreaming and _micros(width) % _micros(slide) == 0
     bounds = F.window("time", slide) if panes else F.window("time", width, slide or width)
-    folded = messages.groupBy(*key_cols, bounds.alias("window")).agg(
-        *_totals(), F.count("*").alias("n")
-    )
+    if l3.isStreaming:
+        folded = messages.groupBy(*key_cols, bounds.alias("window")).agg(*_totals(), F.count("*").alias("n"))
+    else:
+        levels = first_at_price(messages.withColumn("window", bounds), by, F.count("*").alias("n"))
+        folded = levels.groupBy(*by).agg(*_totals(), F.sum("n").alias("n"))
     if not panes:
         return _shape(folded, key_cols, both_sides)
     step, per_window = _micros(slide), _micros(width) // _micros(slide)

@@ -2,11 +2,12 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import messages_frame, quotes_by_seq, random_messages, replay
 from tidequote import l3_to_l1
 from tidequote.operators import book, cover
-from tidequote.operators.ranges import plan_ranges
+from tidequote.operators.ranges import SeqRanges, plan_ranges
 
 
 def _rows(seed, count):
@@ -49,3 +50,14 @@ def test_a_feed_in_small_chunks(spark, monkeypatch):
     for rows_per_range in (30, 1000):
         ranges = plan_ranges(df, rows_per_range=rows_per_range)
         assert quotes_by_seq(l3_to_l1(df, "full_book", ranges=ranges)) == replay(messages, "full_book")
+
+
+def test_a_long_order_is_cut_alone(spark):
+    rng = random.Random(6)
+    messages = [(s, "trade" if s % 3 else "update", 0 if s % 2 else s % 11, "BUY", 90.0 + s % 4, 1 + s % 5) for s in range(1, 400)]
+    df = messages_frame(spark, rng.sample(messages, len(messages))).withColumn(book.AT, F.col("seq_num"))
+    ranges = plan_ranges(df, book.AT, ["order_id"], rows_per_range=40)
+    assert ranges.is_split and len(ranges.hot_keys) == 1
+    whole = SeqRanges(key_cols=("order_id",))
+    cut, plain = (sorted(map(repr, book.level_moves(df, (), r).collect())) for r in (ranges, whole))
+    assert cut == plain

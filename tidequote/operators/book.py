@@ -53,10 +53,23 @@ def _level(order: str, traded: str, gone: str) -> dict[str, Column]:
 def level_moves(
     messages: DataFrame, key_cols: Sequence[str] = (), ranges: SeqRanges | None = None
 ) -> DataFrame:
-    """(keys, _at, side, price, amount): changes of level sizes. ``messages`` carries ``_at``."""
+    """(keys, _at, side, price, amount): changes of level sizes. ``messages`` carries ``_at``.
+
+    Only orders with more than a range's worth of messages are cut into ranges; all others take
+    one shuffle by order and plain windows.
+    """
     order_key = [*key_cols, "order_id"]
     acts = messages.where(F.col("order_id").isNotNull() & (F.col("action") != "other"))
     ranges = ranges or plan_ranges(acts, AT, order_key)
+    if not ranges.is_split:
+        return _moves(acts, key_cols, ranges)
+    whole = SeqRanges(key_cols=tuple(order_key), partitions=ranges.partitions)
+    long = ranges.key_is_split()
+    return _moves(acts.where(~long), key_cols, whole).unionByName(_moves(acts.where(long), key_cols, ranges))
+
+
+def _moves(acts: DataFrame, key_cols: Sequence[str], ranges: SeqRanges) -> DataFrame:
+    order_key = [*key_cols, "order_id"]
     if not ranges.is_split:
         acts = acts.repartition(ranges.partitions, *order_key)
     opens = F.col("action").isin("add", "update")

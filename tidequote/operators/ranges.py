@@ -18,8 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidequote.sources.landing import land, landing_area
-
 RANGE = "_range"
 NULL_RANGE = -1
 ROWS_PER_RANGE = 1 << 20
@@ -30,7 +28,6 @@ MAX_KEYED_RANGES = 1 << 14
 MAX_PARTITIONS = 1 << 15
 MIN_ROWS_TO_CUT = 1024
 SAMPLES_PER_RANGE = 32
-SAMPLES_PER_PART = 1 << 20
 # Keys are split that hold more than one in so many of the rows and more than one range's
 # worth; that is also about how many keys the plan may have to name.
 MAX_HOT_KEYS = 1 << 16
@@ -139,47 +136,38 @@ def _hot_keys(df: DataFrame, key_cols: Sequence[str], rows: int, rows_per_range:
 def _cuts(df: DataFrame, order_col: str, ranges: int, rows: int) -> tuple[list[int], list[int], bool]:
     """(cut points, hot values, whether nulls alone would fill a range), from a sample.
 
-    Sampled values are counted as exact longs, so a frequent value travels as one row, and the
-    counts are summed up over ordered parts of the sample: no step depends on the number of
-    input partitions, and no value passes through a double. A value at which the running count
-    passes a multiple of a range's worth is a cut point; one that passes several is hot.
+    Sampled values are counted as exact longs, so a frequent value travels as one row and none
+    passes through a double. The running count over the ordered sample, at most ``MAX_RANGES``
+    times ``SAMPLES_PER_RANGE`` pairs of longs whatever the input's partitions, tells the rest: a
+    value at which it passes a multiple of a range's worth is a cut point; one that passes
+    several is hot.
     """
-    spark = df.sparkSession
-    expected = SAMPLES_PER_RANGE * ranges
-    sample = df.select(F.col(order_col).cast("long").alias("seq")).sample(min(1.0, expected / rows), seed=7)
-    parts = math.ceil(expected / SAMPLES_PER_PART)
-    with landing_area(spark):
-        counted = sample.groupBy("seq").agg(F.count("*").alias("n")).repartitionByRange(parts, "seq")
-        counted = land(counted.withColumn("part", F.spark_partition_id()), "sample")
-        per_part = counted.groupBy("part").agg(
-            F.sum("n").alias("n"), F.sum(F.when(F.col("seq").isNull(), F.col("n")).otherwise(0)).alias("nulls")
+    share = min(1.0, SAMPLES_PER_RANGE * ranges / rows)
+    sample = df.select(F.col(order_col).cast("long").alias("seq")).sample(share, seed=7)
+    counted = sample.groupBy("seq").agg(F.count("*").alias("n"))
+    numbered = F.when(F.col("seq").isNotNull(), F.col("n")).otherwise(0)
+    upto, everything = Window.orderBy(F.col("seq").asc_nulls_first()), Window.partitionBy()
+
+    def passed(count: Column) -> Column:
+        return F.least(F.floor(count * ranges / F.greatest(F.col("total"), F.lit(1))), F.lit(ranges - 1))
+
+    crossed = (
+        counted.withColumn("numbered", numbered)
+        .select(
+            "seq",
+            "n",
+            "numbered",
+            F.sum("numbered").over(upto).alias("upto"),
+            F.sum("numbered").over(everything).alias("total"),
         )
-        sizes = {r["part"]: (r["n"], r["nulls"]) for r in per_part.collect()}  # a few parts
-        nulls = sum(x for _, x in sizes.values())
-        total = sum(n for n, _ in sizes.values()) - nulls
-        if not total:
-            return [], [], nulls > 0
-        before, seen = [], 0
-        for part in range(parts):
-            before.append(seen)
-            n, without = sizes.get(part, (0, 0))
-            seen += n - without
-        in_part = Window.partitionBy("part").orderBy("seq")
-        upto = F.sum("n").over(in_part) + F.get(_literal(before, "bigint"), F.col("part"))
-
-        def passed(count: Column) -> Column:
-            return F.least(F.floor(count * ranges / F.lit(total)), F.lit(ranges - 1))
-
-        crossed = (
-            counted.where("seq is not null")
-            .select("seq", "n", upto.alias("upto"))
-            .select("seq", (passed(F.col("upto")) - passed(F.col("upto") - F.col("n"))).alias("crossed"))
-            .where("crossed > 0")
-            .collect()
-        )
-    cuts = sorted(r["seq"] for r in crossed)
-    hot = sorted(r["seq"] for r in crossed if r["crossed"] > 1)
-    return cuts, hot, nulls * ranges > total + nulls
+        .withColumn("crossed", passed(F.col("upto")) - passed(F.col("upto") - F.col("numbered")))
+        .where("crossed > 0 or seq is null")
+        .collect()
+    )
+    values = sorted((r["seq"], r["crossed"]) for r in crossed if r["seq"] is not None)
+    nulls = [(r["n"], r["total"]) for r in crossed if r["seq"] is None]
+    hot_nulls = any(n * ranges > n + total for n, total in nulls)
+    return [v for v, _ in values], [v for v, k in values if k > 1], hot_nulls
 
 
 def plan_ranges(

@@ -1,5 +1,6 @@
 from datetime import date, datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from fixtures import (
@@ -19,6 +20,7 @@ from tidequote.functions.text import partitions_for, row_text, time_text, total_
 from tidequote.operators.sizing import output_partitions, output_size, payload_bytes, spread
 from tidequote.sinks.files import write_batch_csv, write_by_date, write_csv
 from tidequote.sources.files import cast_to, read_csv, read_csv_text
+from tidequote.sources import landing
 from tidequote.sources.landing import land, land_measured, landing_area, shared_dir
 
 # A file of another layout, as may lie in an input directory: seven columns, the first a number.
@@ -208,3 +210,24 @@ def test_landing_area_is_removed(spark, tmp_path):
         assert land(spark.range(3), "t").count() == 3
         assert list(Path(root).iterdir())
     assert not Path(root).exists()
+
+
+def _session(master):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
+    )
+
+
+def test_one_temporary_folder_in_local_mode(monkeypatch):
+    made = []
+    monkeypatch.setattr(landing.tempfile, "mkdtemp", lambda prefix: made.append(prefix) or f"/tmp/{prefix}{len(made)}")
+    monkeypatch.setattr(landing, "_local_dir", {})
+    assert shared_dir(_session("local[4]")) == shared_dir(_session("local")) == shared_dir(_session("local[*]"))
+    assert len(made) == 1
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "yarn", "spark://host:7077"])
+def test_a_cluster_has_to_name_its_shared_folder(master):
+    with pytest.raises(RuntimeError):
+        shared_dir(_session(master))

@@ -113,4 +113,37 @@ ORACLES: dict[str, str] = {
             case when r < page_id then r end as refers_to
         from first
     """,
+    "op5_minhash": r"""
+        with recursive w as (
+            select doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') as words
+            from documents
+        ), shingles as (
+            select doc_id, unnest(list_distinct(case
+                when len(words) >= 3 then list_transform(range(1, len(words) - 1),
+                    lambda i: concat_ws(' ', words[i], words[i + 1], words[i + 2]))
+                when len(words) > 0 then [array_to_string(words, ' ')] else [] end)) as s
+            from w
+        ), sizes as (
+            select doc_id, count(*) as n from shingles group by doc_id
+        ), common as (
+            select a.doc_id as a, b.doc_id as b, count(*) as c
+            from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+        ), links as (
+            select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+            where 100 * c >= 85 * (x.n + y.n - c)
+        ), both_ways as (
+            select a, b from links union all select b, a from links
+        ), reached as (
+            select a as id, a as root from both_ways
+            union
+            select l.b, r.root from reached r join both_ways l on l.a = r.id where r.root < l.b
+        ), roots as (
+            select id, min(root) as root from reached group by id
+        )
+        select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(root, d.doc_id)) as component_id,
+            d.doc_id = least(d.doc_id, coalesce(root, d.doc_id)) as kept
+        from documents d left join sizes z on z.doc_id = d.doc_id left join roots r on r.id = d.doc_id
+    """,
 }

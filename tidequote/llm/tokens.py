@@ -22,7 +22,7 @@ def count_tokens(
     (executors look up their own installed copy where it is None). Other columns are not read,
     so clashing names do no harm. A null or empty text has 0 bytes and 0 tokens; repeated rows
     are counted one by one; an empty table gives an empty result; a null id is kept. One pass
-    without a shuffle; memory is bounded by 4 MB of text or the longest text.
+    without a shuffle; memory is bounded by 2 MB of text or the longest text.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidequote.llm import bpe
-from tidequote.llm.packing import best_fit, pack, pack_histogram, plan_table
+from tidequote.llm.packing import ROUNDS, best_fit, pack, pack_histogram, plan_table, solve_configurations
 from tidequote.llm.textbytes import chunks, text_bytes, word_counts, word_spans
 from tidequote.llm.tokens import count_tokens
 
@@ -117,6 +117,19 @@ def test_configurations_beat_best_fit():
     assert sum(n for _, n in pack_histogram({1: 10**9}, 2048)) == -(-(10**9) // 2048)
 
 
+def test_configurations_cover_the_demand():
+    # few pieces of each of many lengths: the program itself places them all, most in full sequences
+    lengths = np.minimum(np.random.default_rng(5).exponential(400, 6000).astype(int) + 1, 2048)
+    demand = dict(Counter(lengths.tolist()))
+    solved = solve_configurations(demand, 2048, ROUNDS)
+    assert _total(solved) == demand
+    filled = [(sum(k * c for k, c in config.items()), n) for config, n in solved]
+    need = -(-sum(k * n for k, n in demand.items()) // 2048)
+    assert max(size for size, _ in filled) <= 2048
+    assert sum(n for _, n in filled) <= 1.01 * need + 1
+    assert sum(n for size, n in filled if size == 2048) >= 0.6 * need
+
+
 @pytest.mark.parametrize("source", ["messy", "documents"])
 def test_pack(request, library, source):
     docs = request.getfixturevalue(source)

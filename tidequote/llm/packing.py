@@ -2,9 +2,10 @@
 
 Only the histogram of lengths, at most ``capacity`` numbers, reaches the driver. There the linear
 program over configurations (multisets of lengths that fit one sequence) is solved by
-multiplicative weights: every round prices the lengths by how little of them is covered, finds
-the most valuable configuration by knapsack dynamic programming, and adds some of it. The
-solution is rounded down; what is left over, again a histogram, goes best-fit into sequences.
+multiplicative weights: every round prices the lengths by how little of them is covered, and adds
+whole numbers of the configurations that are most valuable by knapsack dynamic programming, until
+all is covered. Rounding leaves some of them not full; their pieces, again a histogram, go
+best-fit into sequences.
 The plan names a rank interval of each length per configuration, so its size depends on the
 number of lengths and rounds, not on the documents. Spark ranks the pieces of each length and
 looks their places up.
@@ -27,69 +28,68 @@ from tidequote.llm.textbytes import chunks
 from tidequote.sources.landing import land
 
 CAPACITY = 2048
-ROUNDS = 300
+ROUNDS = 25
+RATE = 1.0
+SLACK = 0.01
 ROWS_PER_BUCKET = 100_000
 MIN_BUCKETS = 64
 
 Plan = list[tuple[dict[int, int], int]]
 
 
-def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> dict[int, int]:
-    """The multiset of lengths of most value within ``capacity`` (unbounded knapsack)."""
-    order = np.argsort(lengths)
-    lengths, prices = lengths[order], prices[order]
+def most_values(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(most value within each room, first length that fits it); lengths fall (unbounded knapsack)."""
     best = np.zeros(capacity + 1)
-    choice = np.full(capacity + 1, -1)
-    fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
+    fits = np.searchsorted(-lengths, -np.arange(capacity + 1))
     for room in range(1, capacity + 1):
-        best[room] = best[room - 1]
         k = fits[room]
-        if k:
-            value = best[room - lengths[:k]] + prices[:k]
-            i = int(value.argmax())
-            if value[i] > best[room]:
-                best[room], choice[room] = value[i], i
-    config: dict[int, int] = {}
-    room = capacity
-    while room > 0:
-        i = choice[room]
-        if i < 0:
-            room -= 1
-            continue
-        length = int(lengths[i])
-        config[length] = config.get(length, 0) + 1
-        room -= length
-    return config
-
-
-def solve_configurations(demand: dict[int, int], capacity: int, rounds: int) -> list[tuple[dict[int, int], float]]:
-    """Fractional numbers of configurations that cover the demand, by multiplicative weights."""
-    lengths = np.array(sorted(demand))
-    wanted = np.array([demand[k] for k in sorted(demand)], float)
-    covered = np.zeros(len(lengths))
-    place = {int(k): i for i, k in enumerate(lengths)}
-    step, rate = 4.0 / rounds, 0.5 * np.log(len(lengths) + 1) + 1
-    found: dict[tuple, float] = {}
-    for _ in range(rounds):
-        short = covered / wanted
-        if short.min() >= 1:
-            break
+        best[room] = best[room - 1]
+        if k < len(lengths):
+            best[room] = max(best[room], (best[room - lengths[k:]] + prices[k:]).max())
+    return best, fits
+
+
+def solve_configurations(demand: dict[int, int], capacity: int, rounds: int) -> Plan:
+    """Whole numbers of configurations that together hold exactly the demand, by multiplicative weights.
+
+    A round takes at most one part in ``rounds`` of the pieces of a length, or one piece, and the
+    configurations whose value is within ``SLACK`` of the most; rounds go on until all is covered.
+    """
+    lengths = np.array(sorted(demand, reverse=True))
+    wanted = np.array([demand[int(k)] for k in lengths], np.int64)
+    left, step = wanted.copy(), -(-wanted // rounds)
+    found: dict[tuple, int] = {}
+    while left.any():
+        own = np.flatnonzero(left)
+        size = lengths[own]
         # a length is worth its size, more while less of it is covered than of the others
-        prices = lengths * np.exp(-rate * (short - short.min()))
-        prices[short >= 1] = 0
-        config = best_configuration(lengths, prices, capacity)
-        if not config:
-            break
-        at = np.array([place[k] for k in config])
-        each = np.array(list(config.values()), float)
-        room = ((wanted[at] - covered[at]) / each).min()
-        amount = min(room, max(step * (wanted[at] / each).max(), 1.0))
-        if amount < 1:
-            amount = room
-        covered[at] += amount * each
-        key = tuple(sorted(config.items()))
-        found[key] = found.get(key, 0.0) + amount
-    return [(dict(k), x) for k, x in found.items()]
+        prices = size * np.exp(RATE * left[own] / wanted[own])
+        best, fits = most_values(size, prices, capacity)
+        quota = np.minimum(step[own], left[own])
+        priced = prices.copy()  # less than 0 where the quota is used up
+        first = True
+        while True:
+            own_prices, config, room, value = priced.copy(), {}, capacity, 0.0
+            while (k := fits[room]) < len(size):
+                i = k + int((best[room - size[k:]] + own_prices[k:]).argmax())
+                if own_prices[i] < 0:
+                    break
+                config[i] = config.get(i, 0) + 1
+                value += prices[i]
+                if config[i] == quota[i]:
+                    own_prices[i] = -np.inf
+                room -= int(size[i])
+            if not config or (not first and value < (1 - SLACK) * best[capacity]):
+                break
+            first = False
+            at, each = np.array(list(config)), np.array(list(config.values()))
+            times = int((quota[at] // each).min())
+            quota[at] -= times * each
+            left[own[at]] -= times * each
+            priced[at[quota[at] == 0]] = -np.inf
+            key = tuple((int(size[i]), n) for i, n in config.items())
+            found[key] = found.get(key, 0) + times
+    return [(dict(k), n) for k, n in found.items()]
 
 
 def best_fit(demand: dict[int, int], capacity: int) -> Plan:
@@ -124,19 +124,23 @@ def best_fit(demand: dict[int, int], capacity: int) -> Plan:
 
 
 def pack_histogram(demand: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
-    """Configurations with how often each is used; together they hold exactly the demand."""
+    """Configurations with how often each is used; together they hold exactly the demand.
+
+    The program's configurations that are full stay; the pieces of the others go best-fit. Best fit
+    of everything is taken instead only where it needs fewer sequences than that.
+    """
     demand = {k: n for k, n in demand.items() if n}
     if not demand:
         return []
-    left = dict(demand)
     plan: Plan = []
-    for config, x in sorted(solve_configurations(demand, capacity, rounds), key=lambda c: -c[1]):
-        times = min([int(x + 1e-9), *(left[k] // n for k, n in config.items())])
-        if times > 0:
+    left: dict[int, int] = {}
+    for config, times in solve_configurations(demand, capacity, rounds):
+        if sum(k * n for k, n in config.items()) == capacity:
             plan.append((config, times))
-            for k, n in config.items():
-                left[k] -= n * times
-    plan += best_fit({k: n for k, n in left.items() if n}, capacity)
+            continue
+        for k, n in config.items():
+            left[k] = left.get(k, 0) + n * times
+    plan += best_fit(left, capacity)
     plain = best_fit(demand, capacity)
     return min(plan, plain, key=lambda p: sum(n for _, n in p))
 

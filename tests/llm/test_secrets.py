@@ -56,6 +56,26 @@ def test_added_spans():
         assert [s for s in find_spans(prose) if s[0] == "guess"] == []
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("pwd=kqzvxwjpmrtlbn", "kqzvxwjpmrtlbn"),
+        ("the password is kqzvxwjpmr.", "kqzvxwjpmr"),
+        ("passphrase: QZXVKWJPMRTB", "QZXVKWJPMRTB"),
+        ("credentials: 8301947265518207", "8301947265518207"),
+    ],
+)
+def test_values_of_one_kind_of_sign(text, value):
+    assert [text[a:b] for k, a, b in find_spans(text) if k == "guess"] == [value]
+    assert masked(text) == text.replace(value, "[SECRET]")
+
+
+def test_words_and_easy_values_are_no_secrets():
+    words = "required something important persistence generation experience different understanding SOMETHING confidential"
+    for value in [*words.split(), "aaaaaaaaaaaa", "19991231", "12345678901234", "qwertyuiopasdfgh"]:
+        assert [s for s in find_spans(f"the secret is {value} here") if s[0] == "guess"] == []
+
+
 def test_masked():
     assert masked("a token=abcdef0123 b") == "a [SECRET] b"
     hexed = "token=" + "ab" * 20

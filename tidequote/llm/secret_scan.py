@@ -2,7 +2,9 @@
 
 A value in a credential context is cut into words, dates, repeats, keyboard walks and
 brute-force stretches so that the sum of the logarithms of their guesses is least (dynamic
-programming over its positions). Values too costly to guess are reported as secrets.
+programming over its positions). In a value of letters of one case, stretches of common pairs of
+letters cost less than brute force, which keeps words of prose out. Values too costly to guess are
+reported as secrets, whatever signs they have.
 """
 
 from __future__ import annotations
@@ -50,6 +52,17 @@ _DATE = re.compile(
 )
 _YEAR = re.compile(r"(?=((?:19|20)\d\d))")
 _SEGMENT = 0.3
+# The common pairs of letters of prose, and the guesses of a letter after another of its pair.
+_PAIRS = frozenset(
+    """th he in er an re nd at on nt ha es st en ed to it ou ea hi is or ti as te et ng of al de se le sa si ar ve
+    ra ld ur me ne wa li ly ri io ic ll be ma co no om ch el ro ca la ta us ec hr em pe wh ct il ie ss ns so rs pr
+    ce ac ho ni di ee un ot ge pl fo ol tr mo po ut wi lo id ir ts sh ai vi ad su ul ci op os ig ow gh bl pa rt
+    im mi nc nk rk rd ry ty am ay ke ey ff fi fe fr da do sp tt ab ap pp up ev ex cr qu tu mp mb bi br ag ga nf ia"""
+    .split()
+)
+_SPOKEN = math.log10(4.5)
+_ENDINGS = tuple("ations ation tional tion sion ments ment ness able ible ings ing ities ity ical istic ally ance ence ized".split())
+_ENDING = math.log10(len(_ENDINGS))
 
 
 def _segments(value: str) -> dict[int, list[tuple[int, float]]]:
@@ -101,19 +114,20 @@ def log10_guesses(value: str) -> float:
     if not value:
         return 0.0
     found = _segments(value)
-    best, brute = [0.0], [math.inf]
+    low = value.lower() if value.isalpha() and (value.islower() or value.isupper()) else ""
+    best, brute, spoken = [0.0], [math.inf], math.inf
     for b in range(1, len(value) + 1):
         brute.append(min(brute[b - 1], best[b - 1] + _SEGMENT) + 1)
         known = min((best[a] + cost + _SEGMENT for a, cost in found.get(b, ())), default=math.inf)
-        best.append(min(brute[b], known))
+        if low:
+            follows = spoken + _SPOKEN if low[b - 2 : b] in _PAIRS else math.inf
+            spoken = min(follows, best[b - 1] + _SEGMENT + 1)
+            ends = (best[b - len(e)] + _ENDING for e in _ENDINGS if low.endswith(e, 0, b))
+            known = min(known, min(ends, default=math.inf))
+        best.append(min(brute[b], known, spoken))
     return best[-1]
 
 
-def _mixed(value: str) -> bool:
-    kinds = (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum())
-    return sum(any(map(k, value)) for k in kinds) >= 2
-
-
 def find_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then kind."""
     spans = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -123,7 +137,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     for m in _CONTEXT.finditer(text):
         value = m[1].rstrip(".:!?)]}")
         a, b = m.start(1), m.start(1) + len(value)
-        if len(value) < 8 or not _mixed(value) or any(x <= a and b <= y for x, y in base):
+        if len(value) < 8 or any(x <= a and b <= y for x, y in base):
             continue
         if log10_guesses(value) >= MIN_LOG10_GUESSES:
             spans.append(("guess", a, b))

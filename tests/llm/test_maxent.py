@@ -96,3 +96,9 @@ def test_held_out_texts_are_likelier(spark):
     held = score_texts(docs).where("held_out").toPandas()
     assert held["score"].sum() > held["base_score"].sum()
     assert (held["score"] > held["base_score"]).mean() > 0.8
+
+
+def test_classes_come_from_ten_dimensions():
+    model = M.Model(np.arange(1, 6, dtype=np.uint64), np.ones(5, np.int64), 6, 6, 1, np.zeros(8, np.int64),
+                  np.zeros((M.ROWS + 1, 32), np.float32), np.zeros(M.ROWS + 1))
+    assert M._signs(model).shape[0] == 10

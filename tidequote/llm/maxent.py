@@ -35,7 +35,7 @@ ROWS = 1 << 14
 ROUNDS = 4
 BATCH = 8192
 RATE = 0.3
-SIGNATURE = 8
+SIGNATURE = 10
 HELD_ENTRIES = 1 << 21
 END = np.uint64(0)  # the hash that stands for the end of a text
 

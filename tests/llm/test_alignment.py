@@ -1,0 +1,146 @@
+import hashlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from tidequote.llm import alignment as A
+
+FIELDS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def _spans(pieces):
+    out, at = [], 0
+    for i, b in pieces:
+        out.append((i, at, at + len(b)))
+        at += len(b)
+    return out
+
+
+def brute(texts, libraries):
+    a, b = libraries
+    alphabet = A.byte_alphabet()
+    cut = []
+    for text in texts:
+        if not text:
+            cut.append(None)
+            continue
+        coded = a.encode(" " + text, add_special_tokens=False)
+        left = [(i, bytes(alphabet[c] for c in a.id_to_token(i))) for i in coded.ids]
+        right = []
+        for i in b.encode(text):
+            piece = b.id_to_piece(i)
+            right.append((i, bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()))
+        whole = (" " + text).encode()
+        same = b"".join(x for _, x in left) == whole == b"".join(x for _, x in right)
+        cut.append((_spans(left), _spans(right)) if same else None)
+    links = []
+    for one in cut:
+        links.append([] if one is None else [(x[0], y[0]) for x in one[0] for y in one[1] if x[1] < y[2] and y[1] < x[2]])
+    count = Counter(p for own in links for p in own)
+    documents = Counter(p for own in links for p in set(own))
+    best = {}
+    for (_, y), n in count.items():
+        best[y] = max(best.get(y, 0), n)
+    rows = []
+    for one, own in zip(cut, links, strict=True):
+        if one is None:
+            rows.append((0, 0, 0, 0, 0, 0, ""))
+            continue
+        ends = sorted({x[2] for x in one[0]} & {y[2] for y in one[1]})
+        groups, start = [], 0
+        for end in ends:
+            groups.append("|".join(",".join(str(x[0]) for x in side if start < x[2] <= end) for side in one))
+            start = end
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+        rows.append(
+            (len(one[0]), len(one[1]), len(ends), len(own), sum(count[p] == best[p[1]] for p in own), sum(count[p] for p in own), digest)
+        )
+    return rows, count, documents, best
+
+
+def check(spark, docs, libraries):
+    rows = docs.select("doc_id", "text").collect()
+    expected = Counter((r["doc_id"], *v) for r, v in zip(rows, brute([r["text"] for r in rows], libraries)[0], strict=True))
+    got = A.aligned(docs)
+    assert got.columns == list(FIELDS)
+    assert Counter(tuple(r) for r in got.collect()) == expected
+
+
+def test_whole_table(spark, documents, libraries):
+    check(spark, documents.limit(60), libraries)
+
+
+def test_messy_rows(spark, messy, libraries):
+    check(spark, messy.where("text is null or length(text) < 1000"), libraries)
+
+
+def test_signs(spark, libraries):
+    texts = ["▁x", "<|endoftext|> <s></s><unk><0x41>", "é漢\x00 ﬁ​́", "  two  \n\n\t", " ", "\n", "x" * 300, "🙂🙂", "a"]
+    docs = spark.createDataFrame(list(enumerate(texts * 3)), "doc_id long, text string")
+    check(spark, docs, libraries)
+
+
+def test_very_long_text_is_whole(spark, libraries):
+    text = "alpha beta, gamma-delta 12 é漢 " * 40_000
+    docs = spark.createDataFrame([(1, text), (2, "alpha beta")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in A.aligned(docs).collect()}
+    pair = A.load()
+    data, offsets = A.spaced(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    _, a, _, b, _ = pair.encode([text], data, offsets)
+    ends = [set(np.cumsum(r.sizes[i]).tolist()) for r, i in ((pair.bytes_a, a), (pair.bytes_b, b))]
+    assert got[1]["n_a"] == len(a) and got[1]["n_b"] == len(b)
+    assert got[1]["n_links"] == len(ends[0] | ends[1]) and got[1]["n_groups"] == len(ends[0] & ends[1])
+    assert got[2]["n_links"] > 0 and got[2]["count_sum"] > 40_000
+
+
+def test_counted_pairs(spark, documents, libraries, monkeypatch):
+    docs = documents.limit(40).repartition(3).cache()
+    _, count, documents_of, best = brute([r["text"] for r in docs.collect()], libraries)
+    got = A.pair_counts(A.land(A.index(docs), "bitmaps")).collect()
+    assert {(r["a"], r["b"]): (r["docs"], r["links"], r["is_best"]) for r in got} == {
+        p: (documents_of[p], n, n == best[p[1]]) for p, n in count.items()
+    }
+
+
+def test_planes_hold_the_numbers_of_links():
+    rng = np.random.default_rng(3)
+    n_docs = 700
+    doc = np.concatenate([rng.integers(0, n_docs, 5000), np.arange(n_docs), np.full(9, 3)])
+    pair = np.concatenate([rng.integers(0, 50, 5000), np.full(n_docs, 7), np.full(9, 60)])
+    times, seen = Counter(), Counter()
+    kinds = set()
+    for rows in A.planes(pair << A.LOCAL_BITS | doc, 5, n_docs):
+        for r in rows.to_pylist():
+            assert r["block"] == 5 and r["a"] == 0
+            kinds.add(r["dense"])
+            raw = np.frombuffer(r["bits"], np.uint8 if r["dense"] else "<u2")
+            own = np.flatnonzero(np.unpackbits(raw, bitorder="little")) if r["dense"] else raw
+            assert len(own) == r["card"]
+            seen[r["b"]] += r["docs"]
+            for d in own.tolist():
+                times[r["b"], d] += 1 << r["plane"]
+    assert times == Counter(zip(pair.tolist(), doc.tolist()))
+    assert seen == Counter(p for p, _ in times) and kinds == {True, False}
+
+
+def test_blocks_end_when_they_are_full(spark, documents, libraries, monkeypatch):
+    docs = documents.limit(50).coalesce(1).cache()
+    monkeypatch.setattr(A, "MAX_LINKS", 500)
+    monkeypatch.setattr(A, "CHUNK", 4000)
+    check(spark, docs, libraries)
+    assert A.index(docs).select("block").distinct().count() > 3
+
+
+def test_nothing(spark, nothing):
+    assert A.aligned(nothing).collect() == []

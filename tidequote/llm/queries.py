@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidequote.llm import toxicity
+from tidequote.llm.alignment import aligned
+from tidequote.llm.conversations import repaired
 from tidequote.llm.gridorder import near_vectors
 from tidequote.llm.maxent import score_texts
 from tidequote.llm.minhash import near_duplicates
@@ -64,6 +67,19 @@ def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(_table(spark, sf_dir, "documents"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(_table(spark, sf_dir, "conversations"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -75,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tokens": op8_tokens,
     "op9_treesearch": op9_treesearch,
     "op10_maxent": op10_maxent,
+    "op11_alignment": op11_alignment,
+    "op12_conversations": op12_conversations,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLES: dict[str, str] = {

@@ -20,6 +20,12 @@ def time_text(time: Column) -> Column:
     return F.concat(utc.cast("string"), F.lit(" UTC"))
 
 
+def utc_day(time: Column) -> Column:
+    """The date in UTC, the same in every session time zone."""
+    at, day = F.unix_micros(time), F.lit(86_400_000_000).cast("long")
+    return F.date_from_unix_date(F.floor((at - F.pmod(at, day)) / day).cast("int"))
+
+
 def _as_written(df: DataFrame) -> list[Column]:
     return [
         time_text(F.col(f.name)).alias(f.name)

@@ -27,8 +27,10 @@ from tidequote.schema import BUY, SELL
 from tidequote.sources.landing import land
 
 AT = "_at"
-# Order value of a null seq_num (before all others) and of a range's opening sizes.
-FIRST_AT = -(1 << 63) + 1
+# Order value of a null seq_num (before all others), of what the book opens with, and of a range's
+# opening sizes.
+FIRST_AT = -(1 << 63) + 2
+BOOK_OPENS_AT = -(1 << 63) + 1
 OPENING_AT = -(1 << 63)
 NO_TIME = -(1 << 63)
 SIDES = {BUY: 1, SELL: -1}
@@ -50,25 +52,59 @@ def _level(order: str, traded: str, gone: str) -> dict[str, Column]:
     }
 
 
-def level_moves(
-    messages: DataFrame, key_cols: Sequence[str] = (), ranges: SeqRanges | None = None
+def with_at(messages: DataFrame) -> DataFrame:
+    return messages.withColumn(AT, F.coalesce("seq_num", F.lit(FIRST_AT)))
+
+
+def order_states(
+    messages: DataFrame,
+    key_cols: Sequence[str] = (),
+    ranges: SeqRanges | None = None,
+    opening: DataFrame | None = None,
 ) -> DataFrame:
-    """(keys, _at, side, price, amount): changes of level sizes. ``messages`` carries ``_at``.
+    """State of each order before and after each of its messages. ``messages`` carries ``_at``.
 
-    Only orders with more than a range's worth of messages are cut into ranges; all others take
-    one shuffle by order and plain windows.
+    ``opening`` (keys, order_id, side, price, left, gone) is what orders begin with; it counts as a
+    message at ``BOOK_OPENS_AT``. Only orders with more than a range's worth of messages are cut into
+    ranges; all others take one shuffle by order and plain windows.
     """
     order_key = [*key_cols, "order_id"]
     acts = messages.where(F.col("order_id").isNotNull() & (F.col("action") != "other"))
+    acts = acts.select(*order_key, AT, "action", "side", "price", F.col("qty").cast("long").alias("qty"))
+    if opening is not None:
+        action = F.when(F.col("gone"), F.lit("delete")).otherwise(F.lit("add"))
+        own = opening.withColumns({AT: F.lit(BOOK_OPENS_AT).cast("long"), "action": action, "qty": F.col("left")})
+        acts = acts.unionByName(own.select(*acts.columns))
     ranges = ranges or plan_ranges(acts, AT, order_key)
     if not ranges.is_split:
-        return _moves(acts, key_cols, ranges)
+        return _states(acts, key_cols, ranges)
     whole = SeqRanges(key_cols=tuple(order_key), partitions=ranges.partitions)
     long = ranges.key_is_split()
-    return _moves(acts.where(~long), key_cols, whole).unionByName(_moves(acts.where(long), key_cols, ranges))
+    return _states(acts.where(~long), key_cols, whole).unionByName(_states(acts.where(long), key_cols, ranges))
+
+
+def level_moves(
+    messages: DataFrame, key_cols: Sequence[str] = (), ranges: SeqRanges | None = None
+) -> DataFrame:
+    """(keys, _at, side, price, amount): changes of level sizes. ``messages`` carries ``_at``."""
+    return moves_of(order_states(messages, key_cols, ranges), key_cols)
+
 
+def closing_orders(states: DataFrame, key_cols: Sequence[str] = ()) -> DataFrame:
+    """(keys, order_id, side, price, left, gone) behind the last message of each order."""
+    last = F.max_by(F.struct("now", "traded", "gone"), AT).alias("end")
+    level = _level("end.now", "end.traded", "end.gone")
+    return states.groupBy(*key_cols, "order_id").agg(last).select(
+        *key_cols,
+        "order_id",
+        level["side"].alias("side"),
+        level["price"].alias("price"),
+        level["left"].cast("long").alias("left"),
+        F.col("end.gone").isNotNull().alias("gone"),
+    )
 
-def _moves(acts: DataFrame, key_cols: Sequence[str], ranges: SeqRanges) -> DataFrame:
+
+def _states(acts: DataFrame, key_cols: Sequence[str], ranges: SeqRanges) -> DataFrame:
     order_key = [*key_cols, "order_id"]
     if not ranges.is_split:
         acts = acts.repartition(ranges.partitions, *order_key)
@@ -97,7 +133,7 @@ def _moves(acts: DataFrame, key_cols: Sequence[str], ranges: SeqRanges) -> DataF
             F.col("opened.qty").alias("qty"),
         ),
     )
-    states = scan(
+    return scan(
         traded,
         [
             Running("now", F.max, opened),
@@ -110,6 +146,10 @@ def _moves(acts: DataFrame, key_cols: Sequence[str], ranges: SeqRanges) -> DataF
         order_key,
         placed=True,
     )
+
+
+def moves_of(states: DataFrame, key_cols: Sequence[str] = ()) -> DataFrame:
+    """What each message adds to or takes from price levels."""
     now, was = _level("now", "traded", "gone"), _level("was", "traded_before", "was_gone")
     stays = now["side"].eqNullSafe(was["side"]) & now["price"].eqNullSafe(was["price"])
 
@@ -173,13 +213,21 @@ def _idle_best(idle: DataFrame, asked: DataFrame, ranges: SeqRanges, keys: list[
 
 
 def full_book(
-    messages: DataFrame, key_cols: Sequence[str] = (), ranges: SeqRanges | None = None
+    messages: DataFrame,
+    key_cols: Sequence[str] = (),
+    ranges: SeqRanges | None = None,
+    moves: DataFrame | None = None,
 ) -> DataFrame:
-    """Best live price and the total size at it, per message (null or NaN where a side is empty)."""
+    """Best live price and the total size at it, per message (null or NaN where a side is empty).
+
+    ``moves`` are the level moves if they are known, those at ``BOOK_OPENS_AT`` being what the levels
+    hold before the first message; they are read several times.
+    """
     keys = list(key_cols)
     group = [*keys, RANGE]
-    messages = messages.withColumn(AT, F.coalesce("seq_num", F.lit(FIRST_AT)))
-    moves = land(level_moves(messages, keys), "level-moves")
+    messages = with_at(messages)
+    if moves is None:
+        moves = land(level_moves(messages, keys), "level-moves")
     ranges = ranges or plan_ranges(messages, AT, keys)
     worth = F.col("price") * F.col("side")
     asked = messages.select(*keys, AT, "seq_num", "time").withColumn(RANGE, ranges.range_of(AT))

@@ -128,6 +128,11 @@ def _emit(rows: DataFrame, quote: dict[str, Column], key_cols: Sequence[str]) ->
     ).where(two_sided())
 
 
+def book_l1(book: DataFrame, key_cols: Sequence[str] = ()) -> DataFrame:
+    """The Level-1 rows of ``full_book``."""
+    return _emit(book, _book_quote(), key_cols)
+
+
 def _coded_messages(l3: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Every message read as an add, with zeros where it is none."""
     if "is_buy" in l3.columns:
@@ -187,7 +192,7 @@ def l3_to_l1(
         raise ValueError(f"mode {mode!r} takes no opening state")
     if mode == "full_book":
         messages = l3 if "action" in l3.columns else l3_messages(l3, key_cols)
-        return _emit(full_book(messages, key_cols, ranges), _book_quote(), key_cols)
+        return book_l1(full_book(messages, key_cols, ranges), key_cols)
     messages = carried_messages(l3, mode, key_cols)
     ranges = ranges or plan_ranges(messages, key_cols=key_cols)
     rows = scan(

@@ -12,15 +12,15 @@ from tidequote.functions.messages import quote_messages, two_sided
 from tidequote.operators.quotes import first_at_price, quote_state
 
 
-def _micros(duration: str) -> int:
+def micros(duration: str) -> int:
     return pd.Timedelta(duration) // pd.Timedelta(microseconds=1)
 
 
-def _totals() -> list[Column]:
+def pane_totals() -> list[Column]:
     return [r.fold(r.value).alias(r.name) for r in quote_state()]
 
 
-def _shape(windows: DataFrame, key_cols: Sequence[str], both_sides: bool) -> DataFrame:
+def shape_windows(windows: DataFrame, key_cols: Sequence[str], both_sides: bool = False) -> DataFrame:
     out = windows.select(
         *key_cols,
         F.col("window.start").alias("window_start"),
@@ -43,22 +43,29 @@ def l1_windows(
 ) -> DataFrame:
     """Best bid, best ask, their sizes and the message count of each window.
 
+    Rows without a time are in no window.
+    """
+    return shape_windows(fold_windows(l3, width, slide, key_cols), key_cols, both_sides)
+
+
+def fold_windows(l3: DataFrame, width: str, slide: str | None = None, key_cols: Sequence[str] = ()) -> DataFrame:
+    """(keys, window, the folds of ``quote_state``, n) of each window.
+
     A batch sliding window is built from panes of one slide each, so a row is folded once
     instead of once per window it falls in; only panes are repeated. A batch is folded by price
-    first, without a sort of its messages. Rows without a time are in no window.
+    first, without a sort of its messages.
     """
     messages = quote_messages(l3, key_cols)
     by = [*key_cols, "window"]
-    panes = slide and not l3.isStreaming and _micros(width) % _micros(slide) == 0
+    panes = slide and not l3.isStreaming and micros(width) % micros(slide) == 0
     bounds = F.window("time", slide) if panes else F.window("time", width, slide or width)
     if l3.isStreaming:
-        folded = messages.groupBy(*key_cols, bounds.alias("window")).agg(*_totals(), F.count("*").alias("n"))
-    else:
-        levels = first_at_price(messages.withColumn("window", bounds), by, F.count("*").alias("n"))
-        folded = levels.groupBy(*by).agg(*_totals(), F.sum("n").alias("n"))
+        return messages.groupBy(*key_cols, bounds.alias("window")).agg(*pane_totals(), F.count("*").alias("n"))
+    levels = first_at_price(messages.withColumn("window", bounds), by, F.count("*").alias("n"))
+    folded = levels.groupBy(*by).agg(*pane_totals(), F.sum("n").alias("n"))
     if not panes:
-        return _shape(folded, key_cols, both_sides)
-    step, per_window = _micros(slide), _micros(width) // _micros(slide)
+        return folded
+    step, per_window = micros(slide), micros(width) // micros(slide)
     start = F.unix_micros("window.start") - F.col("back") * F.lit(step).cast("long")
     spread = folded.withColumn(
         "back", F.explode(F.sequence(F.lit(0), F.lit(per_window - 1)))
@@ -66,10 +73,12 @@ def l1_windows(
         "window",
         F.struct(
             F.timestamp_micros(start).alias("start"),
-            F.timestamp_micros(start + _micros(width)).alias("end"),
+            F.timestamp_micros(start + micros(width)).alias("end"),
         ),
     )
-    merged = spread.groupBy(*by).agg(
-        *[r.fold(F.col(r.name)).alias(r.name) for r in quote_state()], F.sum("n").alias("n")
-    )
-    return _shape(merged, key_cols, both_sides)
+    return spread.groupBy(*by).agg(*merged_totals())
+
+
+def merged_totals() -> list[Column]:
+    """The folds of several parts of a window."""
+    return [*[r.fold(F.col(r.name)).alias(r.name) for r in quote_state()], F.sum("n").alias("n")]

@@ -18,6 +18,8 @@ from tidequote.sinks.files import write_by_date, write_csv
 from tidequote.sources.files import file_log_settings, read_csv, read_file_stream
 from tidequote.sources.landing import land, land_measured, landing_area
 from tidequote.streaming.continuous import continuous_sink
+from tidequote.streaming.continuous_book import continuous_book_sink
+from tidequote.streaming.corrected import corrected_window_sink
 from tidequote.streaming.per_batch import l1_batch_sink, window_batch_sink
 from tidequote.streaming.windowed import watermarked
 
@@ -110,8 +112,11 @@ class StreamOptions:
     drop_late: bool = False
     window: str | None = None
     slide: str | None = None
+    forget_after: str = "7 days"
 
     def __post_init__(self):
+        if self.output_mode not in ("append", "update"):
+            raise ValueError(f"output_mode must be append or update, got {self.output_mode!r}")
         if self.window and (self.continuous or self.mode != "best_quote"):
             raise ValueError("windows hold the best quote of the window and carry nothing on")
         if self.slide and not self.window:
@@ -126,11 +131,14 @@ def run_stream(
     """Start the directory stream; the caller awaits or stops the query.
 
     Each micro-batch is quoted on its own, or from where the last one ended when ``continuous``.
-    With ``window`` the output is the best quote of every window (each ``slide``), written once
-    the watermark has passed it; rows behind the watermark are dropped. ``available_now`` stops
-    after what is in the directory.
+    With ``window`` the output is the best quote of every window (each ``slide``). In append mode it
+    is written once the watermark has passed it, and rows behind the watermark are dropped; in update
+    mode it is written at once and late rows correct it, unless ``drop_late`` leaves out and counts those
+    beyond ``lateness``, so there is one row a window at any time. Quotes are final in
+    either mode. ``available_now`` stops after what is in the directory.
     """
     keys = [f.name for f in options.key_fields]
+    late = options.lateness if options.drop_late else None
     stream = watermarked(
         read_file_stream(
             spark,
@@ -150,17 +158,22 @@ def run_stream(
         "delimiter": options.output_delimiter,
         "header": options.output_header,
     }
-    if options.window:
+    if options.window and options.output_mode == "update":
+        state = f"{options.checkpoint_dir}/window_state"
+        window = (options.window, options.slide, options.key_fields, late)
+        sink = corrected_window_sink(options.output_path, state, *window, **out)
+    elif options.window:
         stream = l1_windows(stream, options.window, options.slide, keys)
         sink = window_batch_sink(options.output_path, **out)
-    else:
-        out |= {"mode": options.mode, "key_cols": keys}
-    if options.continuous:
-        late = options.lateness if options.drop_late else None
+    elif options.continuous and options.mode == "full_book":
+        state = f"{options.checkpoint_dir}/book_state"
+        book = (options.key_fields, late, options.forget_after)
+        sink = continuous_book_sink(options.output_path, state, *book, **out)
+    elif options.continuous:
         state = f"{options.checkpoint_dir}/quote_state"
-        sink = continuous_sink(options.output_path, state, drop_later_than=late, **out)
-    elif not options.window:
-        sink = l1_batch_sink(options.output_path, **out)
+        sink = continuous_sink(options.output_path, state, options.mode, keys, late, **out)
+    else:
+        sink = l1_batch_sink(options.output_path, options.mode, keys, **out)
     writer = (
         stream.writeStream.outputMode(options.output_mode)
         .foreachBatch(sink)

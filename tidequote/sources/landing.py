@@ -42,10 +42,10 @@ def landing_area(spark: SparkSession) -> Iterator[str]:
         yield root
     finally:
         _area.reset(token)
-        _remove(spark, root)
+        remove(spark, root)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it is; the one place that needs the JVM's file systems."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -205,6 +205,124 @@ group by all having {having}
 _CLOSED = "window_start + interval 60 minutes <= (select max(time) from l3) - interval 30 minutes"
 
 
+# The feed whose trades are of one to three pieces.
+_PARTIAL = _L3.replace("l3 as (", "l3_whole as (") + """,
+l3 as (select * replace (case when action = 'trade' then 1 + seq_num % 3 else qty end as qty) from l3_whole)
+"""
+
+
+def _partial(ctes: str, extra: str = "") -> str:
+    return f"with {_PARTIAL}, {ctes} select *{extra} from l1 where bid_price > 0 and ask_price > 0"
+
+
+_SKEW = _L3.replace("l3 as (", "l3_all as (") + """,
+l3 as (select * replace (greatest(instrument - 5, 0) as instrument) from l3_all)
+"""
+
+
+def _asof(feed: str, within: str = "true") -> str:
+    """Trades with the last quote of their instrument up to their time."""
+    found = {c: f"case when {within} then q.{c} end as quote_{c}" for c in ("time", "bid_price", "ask_price", "bid_size", "ask_size", "seq_num")}
+    return f"""with {feed}, {_quoted("best_quote", "instrument")},
+q as (
+  select * from l1 where bid_price > 0 and ask_price > 0
+  qualify row_number() over (partition by instrument, time order by seq_num desc) = 1)
+select t.instrument, t.seq_num, t.time, t.price, t.qty, {", ".join(found.values())}
+from (select * from l3 where action = 'trade') t
+asof left join q on t.instrument = q.instrument and t.time >= q.time
+"""
+
+
+_ASOF_DELETES = _l3_query(
+    """
+select d.seq_num, d.price, d.qty,
+  case when d.seq_num - t.seq_num <= 20 then t.seq_num end as trade_seq_num,
+  case when d.seq_num - t.seq_num <= 20 then t.price end as trade_price,
+  case when d.seq_num - t.seq_num <= 20 then t.qty end as trade_qty
+from (select * from l3 where action = 'delete') d
+asof left join (select * from l3 where action = 'trade') t on d.seq_num > t.seq_num
+"""
+)
+
+
+def _sessions(minutes: int, keys: str = "", having: str = "true", feed: str = _L3) -> str:
+    lead, part = (f"{keys}, ", f"partition by {keys}") if keys else ("", "")
+    return f"""with {feed},
+gapped as (
+  select *, action in ('add', 'update') and side is not null and price is not null as quotes,
+    case when time - lag(time) over (w) <= interval {minutes} minutes then 0 else 1 end as begins
+  from l3 window w as ({part} order by time)),
+numbered as (select *, sum(begins) over ({part} order by time range between unbounded preceding and current row) as s from gapped)
+select {lead}min(time) as window_start, max(time) + interval {minutes} minutes as window_end,
+  max(case when quotes and side = 'BUY' then price end) as bid_price,
+  min(case when quotes and side = 'SELL' then price end) as ask_price,
+  max(case when quotes and side = 'BUY' then {{'p': price, 's': -seq_num, 'q': qty}} end).q as bid_size,
+  min(case when quotes and side = 'SELL' then {{'p': price, 's': seq_num, 'q': qty}} end).q as ask_size,
+  count(*) as n
+from numbered group by {lead}s having {having}
+"""
+
+
+def _weighted(minutes: int, keys: str = "") -> str:
+    lead, part = (f"{keys}, ", f"partition by {keys}") if keys else ("", "")
+    width = minutes * 60_000_000
+    return _l3_query(
+        f"""
+select {lead}make_timestamp(k * {width}) as window_start, make_timestamp((k + 1) * {width}) as window_end,
+  sum(bid_price * part) / sum(part) as bid_price, sum(ask_price * part) / sum(part) as ask_price,
+  sum((ask_price - bid_price) * part) / sum(part) as spread, cast(sum(part) as bigint) as quoted_micros
+from (
+  select *, least(till, (k + 1) * {width}) - greatest(since, k * {width}) as part
+  from (select *, unnest(generate_series(since // {width}, (till - 1) // {width})) as k from lives where till > since))
+group by {lead}k
+""",
+        _quoted("event_quote", keys),
+        f"""
+timed as (
+  select *, epoch_us(time) as since from l1 where bid_price > 0 and ask_price > 0
+  qualify row_number() over (partition by {lead}time order by seq_num desc) = 1),
+lives as (
+  select *, coalesce(lead(since) over ({part} order by since), (select max(since) from timed)) as till from timed)
+""",
+    )
+
+
+def _consolidated(skewed: bool = False) -> str:
+    """The best of all instruments' latest quotes, instrument by instrument."""
+    feed = _PARTIAL
+    if skewed:
+        feed = feed.replace("l3 as (select *", "l3_part as (select *") + (
+            ", l3 as (select * replace (greatest(instrument - 5, 0) as instrument) from l3_part)"
+        )
+    def latest(k: int) -> str:
+        return f"last_value(case instrument when {k} then {{'b': bid_price, 'bs': bid_size, 'a': ask_price, 'as': ask_size}} end ignore nulls) over w"
+
+    quotes = "list_filter([" + ", ".join(latest(k) for k in range(8)) + "], lambda x: x is not null)"
+    return f"""with {feed}, {_quoted("event_quote", "instrument")},
+known as (
+  select time, seq_num, {quotes} as q from l1 where bid_price > 0 and ask_price > 0
+  window w as (order by seq_num rows between unbounded preceding and current row)),
+best as (
+  select *, list_max(list_transform(q, lambda x: x.b)) as bid_price, list_min(list_transform(q, lambda x: x.a)) as ask_price from known)
+select time, bid_price, ask_price,
+  cast(list_sum(list_transform(q, lambda x: case when x.b = bid_price then x.bs else 0 end)) as bigint) as bid_size,
+  cast(list_sum(list_transform(q, lambda x: case when x.a = ask_price then x.as else 0 end)) as bigint) as ask_size, seq_num
+from best
+"""
+
+
+# What is wrong with each row of the broken file, in the order in which it is looked for.
+_REASON = """
+case when seq_num % 89 = 6 then 'number of fields'
+  when seq_num % 89 = 1 then 'seq_num: not bigint'
+  when seq_num % 89 = 3 then 'time: not timestamp'
+  when seq_num % 89 = 2 then 'seq_num: missing'
+  when seq_num % 89 = 5 and action <> 'delete' and action <> 'other' then 'several kinds of message'
+  when seq_num % 89 = 4 and action = 'add' then 'side: unknown'
+end
+"""
+
+
 def _bytes(text: str) -> str:
     return f"cast(coalesce(sum(strlen({text})), 0) as bigint)"
 
@@ -256,6 +374,28 @@ def oracle_sql() -> dict[str, str]:
         "l1_full_book_keyed_split": _skewed(_book(key)),
         "l1_best_quote_tied": _tied("best_quote"),
         "l1_as_coded_tied": _tied("as_coded"),
+        "l1_full_book_partial": _partial(_book()),
+        "l1_full_book_partial_keyed": _partial(_book(key)),
+        "l1_full_book_replayed": _partial(_book()),
+        "l3_replay_conflicts": _l3_query(
+            """select seq_num, cast(qty as integer) + extra as add_qty, 2 - extra as copies, 2 as versions
+            from l3, unnest([0, 1]) as u(extra) where seq_num % 10 = 0 and action = 'add'"""
+        ),
+        "asof_trade_quote": _asof(_L3),
+        "asof_trade_quote_split": _asof(_SKEW, "t.time - q.time <= interval 10 minutes"),
+        "asof_delete_trade": _ASOF_DELETES,
+        "l1_consolidated": _consolidated(),
+        "l1_consolidated_split": _consolidated(skewed=True),
+        "l1_window_session": _sessions(5),
+        "l1_window_session_keyed": _sessions(20, key),
+        "l1_window_session_split": _sessions(5),
+        "l1_window_time_weighted": _weighted(15),
+        "l1_window_time_weighted_keyed": _weighted(60, key),
+        "csv_quarantine": _l3_query(f"select coalesce({_REASON}, 'good') as reason, count(*) as rows from l3 group by all"),
+        "csv_quarantine_good": _l3_query(
+            f"""select * exclude (delete_order_id), case when seq_num % 89 = 5 then coalesce(delete_order_id, 1) else delete_order_id end
+            as delete_order_id from ({_WIDE}) where seq_num in (select seq_num from l3 where {_REASON} is null)"""
+        ),
         "l1_window_tumbling": _windows(60, 60),
         "l1_window_sliding": _windows(60, 15),
         "l1_window_sliding_keyed": _windows(
@@ -283,6 +423,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_l1_continuous": with_batch("best_quote"),
         "stream_l1_continuous_keyed": with_batch("event_quote", key),
         "stream_l1_continuous_as_coded": with_batch("as_coded"),
+        "stream_l1_full_book": _partial(_book(), f", {_BATCH} as batch_id"),
+        "stream_l1_full_book_keyed": _partial(_book(key), f", {_BATCH} as batch_id"),
+        "stream_window_corrected": _windows(60, 15),
+        "stream_window_corrected_keyed": _windows(60, 60, key),
+        "stream_l1_window_session": _sessions(
+            5, having="max(time) + interval 5 minutes < (select max(time) from l3) - interval 30 minutes"
+        ),
         "stream_archive_scan": wide,
         "stream_job_window": _windows(60, 15, where=_CLOSED),
         "stream_l1_window": _windows(60, 60, where=_CLOSED),

@@ -14,9 +14,14 @@ from pyspark.sql import types as T
 
 from tidequote.functions.messages import l3_messages
 from tidequote.functions.text import partitions_for, row_text, total_bytes, with_text_times
+from tidequote.operators.asof import asof_join, both_feeds
+from tidequote.operators.consolidated import consolidated
 from tidequote.operators.quotes import l3_to_l1
 from tidequote.operators.ranges import plan_ranges
+from tidequote.operators.replays import without_replays
+from tidequote.operators.sessions import l1_sessions
 from tidequote.operators.sizing import output_partitions, output_size, payload_bytes, spread
+from tidequote.operators.weighted import time_weighted
 from tidequote.operators.windows import l1_windows
 from tidequote.plans.jobs import BatchOptions, StreamOptions, run_batch, run_stream
 from tidequote.schema import L1_SCHEMA, L3_SCHEMA, keyed_schema
@@ -24,6 +29,8 @@ from tidequote.sinks.files import write_by_date, write_csv
 from tidequote.sources.events import l3_from_events
 from tidequote.sources.files import cast_to, read_csv, read_csv_text, read_file_stream
 from tidequote.sources.landing import fresh_path, land
+from tidequote.sources.quarantine import intake
+from tidequote.streaming.sessions import session_sink
 from tidequote.streaming.windowed import windowed_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +62,18 @@ def _l3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land(l3_from_events(_table(spark, sf_dir, "events")), "l3")
 
 
+def _partial_l3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with trades of one to three pieces, so that most orders are filled in parts."""
+    feed = l3_from_events(_table(spark, sf_dir, "events"))
+    sold = F.when(F.col("trade_qty").isNotNull(), (F.pmod("seq_num", F.lit(3)) + 1).cast("int"))
+    return land(feed.withColumn("trade_qty", sold), "partial")
+
+
+def _skewed(l3: DataFrame) -> DataFrame:
+    """Instrument 0 gets most of the feed."""
+    return land(l3.withColumn(KEY, F.greatest(F.col(KEY) - 5, F.lit(0))), "skewed")
+
+
 def _plain_times(df: DataFrame) -> DataFrame:
     return df.select(
         *[
@@ -98,7 +117,7 @@ def _split_quotes(mode: str, *keys: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         l3 = _l3(spark, sf_dir)
         if keys:
-            l3 = land(l3.withColumn(KEY, F.greatest(F.col(KEY) - 5, F.lit(0))), "skewed")
+            l3 = _skewed(l3)
         l3 = l3_messages(l3, keys)
         ranges = plan_ranges(l3, key_cols=keys, rows_per_range=l3.count() // 20 + 1)
         return _plain_times(l3_to_l1(l3, mode, keys, ranges))
@@ -117,6 +136,80 @@ def _tied_quotes(mode: str) -> Query:
     return query
 
 
+def _partial_book(*keys: str) -> Query:
+    return lambda spark, sf_dir: _plain_times(l3_to_l1(_partial_l3(spark, sf_dir), "full_book", keys))
+
+
+def _replayed_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed delivered twice, in other files, and counted once."""
+    l3 = _partial_l3(spark, sf_dir)
+    messages, _ = without_replays(l3.unionByName(l3))
+    return _plain_times(l3_to_l1(land(messages, "once"), "full_book"))
+
+
+def _replay_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed again with every tenth message's quantity changed: those are set apart."""
+    l3 = _feed(_l3(spark, sf_dir))
+    changed = l3.where(F.col("seq_num") % 10 == 0).withColumn("add_qty", F.col("add_qty") + 1)
+    _, conflicts = without_replays(l3.unionByName(l3).unionByName(changed))
+    return conflicts.select("seq_num", "add_qty", "copies", "versions")
+
+
+def _trades_and_quotes(l3: DataFrame) -> tuple[DataFrame, DataFrame]:
+    trades = l3_messages(l3, [KEY]).where("action = 'trade'").select(KEY, "seq_num", "time", "price", "qty")
+    return land(trades, "trades"), land(l3_to_l1(l3, "best_quote", [KEY]), "quotes")
+
+
+def _asof(tolerance: str | None = None, split: bool = False) -> Query:
+    """Each trade with the latest quote of its instrument at or before its time."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        l3 = _l3(spark, sf_dir)
+        trades, quotes = _trades_and_quotes(_skewed(l3) if split else l3)
+        ranges = None
+        if split:
+            rows = both_feeds(trades, quotes, "time", [KEY], ["seq_num"])
+            ranges = plan_ranges(rows, "_on", [KEY], rows.count() // 20 + 1)
+        found = asof_join(trades, quotes, "time", [KEY], tolerance=tolerance, ranges=ranges)
+        return _plain_times(found)
+
+    return query
+
+
+def _asof_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each delete with the last trade before it by order value, over all instruments."""
+    messages = l3_messages(_l3(spark, sf_dir)).select("seq_num", "action", "price", "qty")
+    deletes, trades = (messages.where(F.col("action") == a).drop("action") for a in ("delete", "trade"))
+    return asof_join(deletes, trades, "seq_num", ties=(), prefix="trade_", strict=True, tolerance=20)
+
+
+def _sessions(gap: str, *keys: str, split: bool = False) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        l3 = _l3(spark, sf_dir)
+        more = {"rows_per_range": 50} if split else {}
+        return _plain_times(l1_sessions(_skewed(l3) if split and keys else l3, gap, keys, **more))
+
+    return query
+
+
+def _weighted(width: str, *keys: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        l1 = land(l3_to_l1(_l3(spark, sf_dir), "event_quote", keys), "l1")
+        return _plain_times(time_weighted(l1, width, keys))
+
+    return query
+
+
+def _consolidated(split: bool = False) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        l3 = _partial_l3(spark, sf_dir)
+        l1 = land(l3_to_l1(_skewed(l3) if split else l3, "event_quote", [KEY]), "l1")
+        more = {"rows_per_range": l1.count() // 20 + 1} if split else {}
+        return _plain_times(consolidated(l1, [KEY], **more))
+
+    return query
+
+
 def _windows(width: str, slide: str | None = None, *keys: str, both_sides: bool = False) -> Query:
     return lambda spark, sf_dir: _plain_times(
         l1_windows(_l3(spark, sf_dir), width, slide, keys, both_sides)
@@ -143,6 +236,36 @@ def _csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(read_csv(spark, path, L3_SCHEMA, "|", strict_header=True))
 
 
+def _dirty_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as CSV in which some rows are broken in different ways."""
+    feed = with_text_times(_feed(_l3(spark, sf_dir))).withColumn("_seq", F.col("seq_num"))
+    seq = F.col("_seq")
+    broken = feed.withColumns(
+        {
+            "seq_num": F.when(seq % 89 == 1, F.lit("12x")).when(seq % 89 == 2, F.lit(None)).otherwise(seq.cast("string")),
+            "time": F.when(seq % 89 == 3, F.lit("soon")).otherwise(F.col("time")),
+            "add_side": F.when((seq % 89 == 4) & F.col("add_side").isNotNull(), F.lit("HOLD")).otherwise(F.col("add_side")),
+            "delete_order_id": F.when(seq % 89 == 5, F.coalesce("delete_order_id", F.lit(1))).otherwise(F.col("delete_order_id")),
+        }
+    )
+    path = fresh_path(spark, "dirty")
+    line = F.to_csv(F.struct(*L3_SCHEMA.names))
+    line = F.when(seq % 89 == 6, F.concat(line, F.lit(",more"))).otherwise(line)
+    broken.select(line.alias("value")).repartition(_files(feed)).write.text(path)
+    return path
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by reason; good ones have none."""
+    read = intake(spark, _dirty_csv(spark, sf_dir), header=False)
+    good = read.good.select(F.lit("good").alias("reason"))
+    return good.unionByName(read.bad.select("reason")).groupBy("reason").agg(F.count("*").alias("rows"))
+
+
+def _quarantine_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_times(intake(spark, _dirty_csv(spark, sf_dir), header=False).good)
+
+
 def _csv_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "ordered")
     l1 = land(l3_to_l1(_l3(spark, sf_dir)), "l1")
@@ -228,12 +351,12 @@ def _thirds(feed: DataFrame) -> list:
     return [third <= 0, third == 1, third >= 2]
 
 
-def _stream_job(keys: bool = False, **options) -> Query:
+def _stream_job(keys: bool = False, source: Callable = _l3, **options) -> Query:
     """Deliver the feed in three parts; one micro-batch each, resumed from the checkpoint."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         fields = (KEY_FIELD,) if keys else ()
-        feed = _feed(_l3(spark, sf_dir), *[f.name for f in fields])
+        feed = _feed(source(spark, sf_dir), *[f.name for f in fields])
         job = StreamOptions(
             input_stream_dir=fresh_path(spark, "arriving"),
             output_path=fresh_path(spark, "quotes"),
@@ -245,14 +368,63 @@ def _stream_job(keys: bool = False, **options) -> Query:
         )
         for _ in _deliveries(feed, _thirds(feed), job.input_stream_dir):
             run_stream(spark, job, available_now=True).awaitTermination()
-        schema = T.StructType(
-            [*fields, *L1_SCHEMA.fields, T.StructField("batch_id", T.LongType())]
-        )
+        l1 = [T.StructField(f.name, _wide(f)) if job.mode == "full_book" else f for f in L1_SCHEMA.fields]
+        schema = T.StructType([*fields, *l1, T.StructField("batch_id", T.LongType())])
         return _plain_times(read_csv(spark, job.output_path, schema))
 
     return query
 
 
+def _wide(field: T.StructField) -> T.DataType:
+    """Sizes of price levels are totals."""
+    return T.LongType() if field.name.endswith("_size") else field.dataType
+
+
+def _stream_corrected(width: str, slide: str | None, keys: bool = False) -> Query:
+    """The window job in update mode; each delivery has messages of all times, so all windows are corrected."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fields = (KEY_FIELD,) if keys else ()
+        feed = _feed(_l3(spark, sf_dir), *[f.name for f in fields])
+        job = StreamOptions(
+            input_stream_dir=fresh_path(spark, "arriving"),
+            output_path=fresh_path(spark, "windows"),
+            checkpoint_dir=fresh_path(spark, "progress"),
+            input_file_format="parquet",
+            max_files_per_trigger=None,
+            key_fields=fields,
+            window=width,
+            slide=slide,
+            output_mode="update",
+        )
+        parts = [F.pmod(F.coalesce("seq_num", F.lit(0)), F.lit(3)) == k for k in range(3)]
+        for _ in _deliveries(feed, parts, job.input_stream_dir):
+            run_stream(spark, job, available_now=True).awaitTermination()
+        schema = T.StructType([*fields, *WINDOW_SCHEMA.fields[:-1], T.StructField("day", T.DateType())])
+        return _plain_times(read_csv(spark, job.output_path, schema)).drop("day")
+
+    return query
+
+
+def _stream_sessions(gap: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed = _feed(_l3(spark, sf_dir))
+        source, out = fresh_path(spark, "arriving"), fresh_path(spark, "sessions")
+        progress, state = fresh_path(spark, "progress"), fresh_path(spark, "session-state")
+        for _ in _deliveries(feed, _thirds(feed), source):
+            query = (
+                read_file_stream(spark, source, L3_SCHEMA, "parquet")
+                .writeStream.foreachBatch(session_sink(out, state, gap))
+                .option("checkpointLocation", progress)
+                .trigger(availableNow=True)
+                .start()
+            )
+            query.awaitTermination()
+        return _plain_times(read_csv(spark, out, WINDOW_SCHEMA)).drop("batch_id")
+
+    return query
+
+
 def _stream_windows(width: str, slide: str | None, late: bool) -> Query:
     """Windows of a watermarked stream. When ``late``, all deletes come after all else."""
 
@@ -357,6 +529,22 @@ def queries() -> dict[str, Query]:
         "l1_full_book_keyed_split": _split_quotes("full_book", KEY),
         "l1_best_quote_tied": _tied_quotes("best_quote"),
         "l1_as_coded_tied": _tied_quotes("as_coded"),
+        "l1_full_book_partial": _partial_book(),
+        "l1_full_book_partial_keyed": _partial_book(KEY),
+        "l1_full_book_replayed": _replayed_book,
+        "l3_replay_conflicts": _replay_conflicts,
+        "asof_trade_quote": _asof(),
+        "asof_trade_quote_split": _asof("10 minutes", split=True),
+        "asof_delete_trade": _asof_strict,
+        "l1_consolidated": _consolidated(),
+        "l1_consolidated_split": _consolidated(split=True),
+        "l1_window_session": _sessions("5 minutes"),
+        "l1_window_session_keyed": _sessions("20 minutes", KEY),
+        "l1_window_session_split": _sessions("5 minutes", split=True),
+        "l1_window_time_weighted": _weighted("15 minutes"),
+        "l1_window_time_weighted_keyed": _weighted("1 hour", KEY),
+        "csv_quarantine": _quarantine,
+        "csv_quarantine_good": _quarantine_good,
         "l1_window_tumbling": _windows("1 hour"),
         "l1_window_sliding": _windows("1 hour", "15 minutes"),
         "l1_window_sliding_keyed": _windows("6 hours", "1 hour", KEY, both_sides=True),
@@ -374,6 +562,11 @@ def queries() -> dict[str, Query]:
         "stream_l1_continuous": _stream_job(continuous=True),
         "stream_l1_continuous_keyed": _stream_job(keys=True, continuous=True, mode="event_quote"),
         "stream_l1_continuous_as_coded": _stream_job(continuous=True, mode="as_coded"),
+        "stream_l1_full_book": _stream_job(source=_partial_l3, continuous=True, mode="full_book"),
+        "stream_l1_full_book_keyed": _stream_job(keys=True, source=_partial_l3, continuous=True, mode="full_book"),
+        "stream_window_corrected": _stream_corrected("1 hour", "15 minutes"),
+        "stream_window_corrected_keyed": _stream_corrected("1 hour", None, keys=True),
+        "stream_l1_window_session": _stream_sessions("5 minutes"),
         "stream_archive_scan": _stream_archive,
         "stream_job_window": _stream_window_job("1 hour", "15 minutes"),
         "stream_l1_window": _stream_windows("1 hour", None, late=False),

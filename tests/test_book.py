@@ -61,3 +61,60 @@ def test_a_long_order_is_cut_alone(spark):
     whole = SeqRanges(key_cols=("order_id",))
     cut, plain = (sorted(map(repr, book.level_moves(df, (), r).collect())) for r in (ranges, whole))
     assert cut == plain
+
+
+def plain_depth(messages, depth):
+    """The best levels of both sides after each message, from a plain book."""
+    orders, dead, out = {}, set(), {}
+    for seq, action, order, side, price, qty in messages:
+        if order is not None and order not in dead:
+            if action in ("add", "update"):
+                orders[order] = [side, price, qty]
+            elif action == "trade" and order in orders:
+                orders[order][2] = max(0, orders[order][2] - qty)
+            elif action == "delete":
+                dead.add(order)
+                orders.pop(order, None)
+        sides = []
+        for s, sign in (("BUY", -1), ("SELL", 1)):
+            levels = {}
+            for of, p, q in orders.values():
+                if of == s and p is not None and q > 0:
+                    levels[p] = levels.get(p, 0) + q
+            best = sorted(levels.items(), key=lambda x: sign * x[0])[:depth]
+            sides.append(best + [(None, None)] * (depth - len(best)))
+        if sides[0][0][0] and sides[1][0][0]:
+            out[seq] = sides
+    return out
+
+
+@pytest.mark.parametrize(("rows_per_range", "chunk"), [(10**6, 1 << 18), (25, 1 << 18), (25, 7)])
+def test_depth(spark, monkeypatch, rows_per_range, chunk):
+    real = cover.partition_quotes
+    monkeypatch.setattr(book, "partition_quotes", lambda *a, **k: real(*a, chunk_rows=chunk, **k))
+    messages = random_messages(random.Random(4), 260)
+    df = messages_frame(spark, random.Random(5).sample(messages, 260)).cache()
+    ranges = plan_ranges(df, rows_per_range=rows_per_range, min_rows=rows_per_range)
+    got = {}
+    for r in book.book_depth(df, 3, ranges=ranges).collect():
+        got[r["seq_num"]] = [[(r[f"{s}_price_{i}"], r[f"{s}_size_{i}"]) for i in (1, 2, 3)] for s in ("bid", "ask")]
+    assert got == plain_depth(messages, 3)
+
+
+def test_depth_of_one_hot_seq(spark):
+    messages = [(7, "add", i, "BUY" if i % 2 else "SELL", 90.0 + i % 10, 1 + i) for i in range(300)] + [(9, "delete", 1, "BUY", None, None)]
+    df = messages_frame(spark, messages)
+    ranges = plan_ranges(df, rows_per_range=40)
+    assert ranges.hot_seqs
+    cut, whole = (sorted(map(tuple, book.book_depth(df, 2, ranges=r).collect())) for r in (ranges, SeqRanges()))
+    assert cut == whole and len(cut) == 301
+
+
+def test_greatest_of_several():
+    rng = random.Random(3)
+    spans = [(a, a + rng.randint(1, 40)) for a in (rng.randrange(60) for _ in range(80))]
+    start, end = (pd.Series(x).to_numpy() for x in zip(*spans))
+    top = cover.top_cover(start, end, 100, 4)
+    for t in range(100):
+        want = sorted((i for i, (a, b) in enumerate(spans) if a <= t < b), reverse=True)[:4]
+        assert top[:, t].tolist() == want + [-1] * (4 - len(want))

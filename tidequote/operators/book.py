@@ -177,14 +177,22 @@ def moves_of(states: DataFrame, key_cols: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _best(levels: DataFrame, by: list[str]) -> DataFrame:
-    """Best price and its size per group; ``worth`` grows towards the better price."""
+def _best(levels: DataFrame, by: list[str], depth: int = 1) -> DataFrame:
+    """Best price and its size per group, or the ``depth`` best; ``worth`` grows towards the better price.
+
+    A group has a price once, or, where spans and blocks of one level meet, with one size.
+    """
+    if depth > 1:
+        best_first = Window.partitionBy(*by).orderBy(F.desc("worth"))
+        once = levels.groupBy(*by, "worth").agg(F.max("size").alias("size"))
+        # Spark limits each partition before the shuffle to the rows that can still count
+        return once.withColumn("_rank", F.row_number().over(best_first)).where(F.col("_rank") <= depth).drop("_rank")
     return levels.groupBy(*by).agg(
         F.max("worth").alias("worth"), F.max_by("size", "worth").alias("size")
     )
 
 
-def _idle_best(idle: DataFrame, asked: DataFrame, ranges: SeqRanges, keys: list[str]) -> DataFrame:
+def _idle_best(idle: DataFrame, asked: DataFrame, ranges: SeqRanges, keys: list[str], depth: int) -> DataFrame:
     """Best level per (keys, range, side) among those that sit through the whole range.
 
     ``idle`` holds (keys, side, first, last, worth, size) over range numbers. Each span is
@@ -193,7 +201,7 @@ def _idle_best(idle: DataFrame, asked: DataFrame, ranges: SeqRanges, keys: list[
     """
     heights = F.sequence(F.lit(0), F.lit(ranges.count.bit_length()))
     lo, hi = F.col("lo"), F.col("hi")
-    spans = _best(idle, [*keys, "side", "first", "last"]).withColumn("height", F.explode(heights))
+    spans = _best(idle, [*keys, "side", "first", "last"], depth).withColumn("height", F.explode(heights))
     ends = spans.withColumns(
         {
             "lo": F.expr("shiftright(first + shiftleft(1, height) - 1, height)"),
@@ -204,12 +212,13 @@ def _idle_best(idle: DataFrame, asked: DataFrame, ranges: SeqRanges, keys: list[
     blocks = _best(
         ends.withColumn("block", F.explode(F.array_distinct(F.array_compact(odd_ends)))),
         [*keys, "side", "height", "block"],
+        depth,
     )
     lookups = asked.withColumn("height", F.explode(heights)).withColumn(
         "block", F.expr(f"shiftright({RANGE}, height)")
     )
     found = join_states(lookups, blocks, [*keys, "height", "block"], False)
-    return _best(found.where(F.col("side").isNotNull()), [*keys, RANGE, "side"])
+    return _best(found.where(F.col("side").isNotNull()), [*keys, RANGE, "side"], depth)
 
 
 def full_book(
@@ -217,9 +226,12 @@ def full_book(
     key_cols: Sequence[str] = (),
     ranges: SeqRanges | None = None,
     moves: DataFrame | None = None,
+    depth: int = 1,
 ) -> DataFrame:
     """Best live price and the total size at it, per message (null or NaN where a side is empty).
 
+    With a ``depth`` of more than one it is that many best levels, in columns ``bid_price_1`` and so on.
+
     ``moves`` are the level moves if they are known, those at ``BOOK_OPENS_AT`` being what the levels
     hold before the first message; they are read several times.
     """
@@ -255,15 +267,15 @@ def full_book(
             places = messages.sparkSession.range(ranges.count).select(
                 F.col("id").cast("int").alias(RANGE)
             )
-        idle = _idle_best(idle.drop(RANGE, "amount"), places, ranges, keys)
+        idle = _idle_best(idle.drop(RANGE, "amount"), places, ranges, keys, depth)
         held = levels.withColumn("size", F.col("size") - F.col("amount")).where("size > 0")
         columns = [*group, "side", "worth", "size"]
         opening = held.select(*columns).unionByName(idle.select(*columns))
         if ranges.hot_ranges:
             is_hot = F.col(RANGE).isin(ranges.hot_ranges)
             closing = levels.where("size > 0").select(*columns).unionByName(idle.select(*columns))
-            best = _best(closing.where(is_hot), [*group, "side"])
-            hot_quotes = join_states(asked.where(is_hot), _by_side(best, group), group, not keys)
+            best = _best(closing.where(is_hot), [*group, "side"], depth)
+            hot_quotes = join_states(asked.where(is_hot), _by_side(best, group, depth), group, not keys)
             asked, moves, opening = (d.where(~is_hot) for d in (asked, moves, opening))
 
     micros = F.coalesce(F.unix_micros(F.col("time").cast("timestamp")), F.lit(NO_TIME))
@@ -284,25 +296,24 @@ def full_book(
                 "side", worth_price().alias("price"), F.col("size").alias("amount"),
             )
         )
+    columns = level_columns(depth)
     result = T.StructType(
         [asked.schema[k] for k in keys]
         + [T.StructField(c, T.LongType()) for c in ("at", "micros")]
-        + [
-            T.StructField(f"{side}_{c}", t)
-            for side in ("bid", "ask")
-            for c, t in (("price", T.DoubleType()), ("size", T.LongType()))
-        ]
+        + [T.StructField(c, T.DoubleType() if "price" in c else T.LongType()) for c in columns]
     )
     in_order = ranges.place(rows).sortWithinPartitions(*group, "at", F.col("side") == 0)
+    deeper = {"depth": depth} if depth > 1 else {}
+    worked = partition_quotes(group, keys, OPENING_AT, **deeper)
     quotes = (
-        in_order.mapInPandas(partition_quotes(group, keys, OPENING_AT), result)
+        in_order.mapInPandas(worked, result)
         .select(
             *keys,
             F.nullif("at", F.lit(FIRST_AT)).alias("seq_num"),
             F.timestamp_micros(F.nullif("micros", F.lit(NO_TIME)))
             .cast(messages.schema["time"].dataType)
             .alias("time"),
-            "bid_price", "ask_price", "bid_size", "ask_size",
+            *columns,
         )
     )
     return quotes if hot_quotes is None else quotes.unionByName(hot_quotes.select(*quotes.columns))
@@ -312,13 +323,53 @@ def worth_price() -> Column:
     return F.col("worth") * F.col("side")
 
 
-def _by_side(best: DataFrame, group: list[str]) -> DataFrame:
+def level_columns(depth: int) -> list[str]:
+    if depth == 1:
+        return ["bid_price", "ask_price", "bid_size", "ask_size"]
+    return [f"{side}_{c}_{i + 1}" for i in range(depth) for c in ("price", "size") for side in ("bid", "ask")]
+
+
+def _by_side(best: DataFrame, group: list[str], depth: int) -> DataFrame:
     def of(side: int, column: Column) -> Column:
         return F.max(F.when(F.col("side") == side, column))
 
-    return best.groupBy(*group).agg(
-        of(1, worth_price()).alias("bid_price"),
-        of(-1, worth_price()).alias("ask_price"),
-        of(1, F.col("size")).alias("bid_size"),
-        of(-1, F.col("size")).alias("ask_size"),
+    if depth == 1:
+        return best.groupBy(*group).agg(
+            of(1, worth_price()).alias("bid_price"),
+            of(-1, worth_price()).alias("ask_price"),
+            of(1, F.col("size")).alias("bid_size"),
+            of(-1, F.col("size")).alias("ask_size"),
+        )
+    at = F.row_number().over(Window.partitionBy(*group, "side").orderBy(F.desc("worth")))
+    return (
+        best.withColumn("_at", at)
+        .groupBy(*group)
+        .agg(
+            *[
+                F.max(F.when((F.col("side") == side) & (F.col("_at") == i + 1), column)).alias(f"{name}_{c}_{i + 1}")
+                for i in range(depth)
+                for c, column in (("price", worth_price()), ("size", F.col("size")))
+                for name, side in (("bid", 1), ("ask", -1))
+            ]
+        )
     )
+
+
+def book_depth(
+    messages: DataFrame, depth: int, key_cols: Sequence[str] = (), ranges: SeqRanges | None = None
+) -> DataFrame:
+    """The ``depth`` best levels of both sides after each message, once both sides are quoted.
+
+    (keys, seq_num, time, bid_price_1, ask_price_1, bid_size_1, ask_size_1, bid_price_2, ...); null
+    where there are fewer levels. ``messages`` are as ``l3_messages`` gives them.
+    """
+    if depth < 2:
+        raise ValueError("l3_to_l1 gives the best level; depth begins at 2")
+    book = full_book(messages, key_cols, ranges, depth=depth)
+    shown = [
+        F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) if "price" in c
+        else F.when(F.col(c) > 0, F.col(c)).alias(c)
+        for c in level_columns(depth)
+    ]
+    both = (F.col("bid_price_1") > 0) & (F.col("ask_price_1") > 0)
+    return book.select(*key_cols, "seq_num", "time", *shown).where(both)

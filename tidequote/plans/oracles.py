@@ -215,6 +215,25 @@ def _partial(ctes: str, extra: str = "") -> str:
     return f"with {_PARTIAL}, {ctes} select *{extra} from l1 where bid_price > 0 and ask_price > 0"
 
 
+def _depth(levels: int) -> str:
+    """The best levels of both sides after each message."""
+    book = _book()
+    book = book[: book.rindex("l1 as (")]
+    columns = ", ".join(
+        f"max(case when side = '{side}' and r = {i} then price end) as {name}_price_{i}, "
+        f"cast(max(case when side = '{side}' and r = {i} then size end) as bigint) as {name}_size_{i}"
+        for i in range(1, levels + 1)
+        for name, side in (("bid", "BUY"), ("ask", "SELL"))
+    )
+    return f"""with {_PARTIAL}, {book} shown as (
+  select m.seq_num, m.time, v.side, v.price, v.size,
+    row_number() over (partition by m.seq_num, v.side order by case v.side when 'BUY' then -v.price else v.price end) as r
+  from l3 m join levels v on v.size > 0 and v.s <= m.seq_num and m.seq_num < v.e)
+select seq_num, time, {columns} from shown where r <= {levels} group by seq_num, time
+having bid_price_1 > 0 and ask_price_1 > 0
+"""
+
+
 _SKEW = _L3.replace("l3 as (", "l3_all as (") + """,
 l3 as (select * replace (greatest(instrument - 5, 0) as instrument) from l3_all)
 """
@@ -376,6 +395,8 @@ def oracle_sql() -> dict[str, str]:
         "l1_as_coded_tied": _tied("as_coded"),
         "l1_full_book_partial": _partial(_book()),
         "l1_full_book_partial_keyed": _partial(_book(key)),
+        "l1_depth_5": _depth(5),
+        "l1_depth_5_split": _depth(5),
         "l1_full_book_replayed": _partial(_book()),
         "l3_replay_conflicts": _l3_query(
             """select seq_num, cast(qty as integer) + extra as add_qty, 2 - extra as copies, 2 as versions

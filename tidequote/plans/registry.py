@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidequote.functions.messages import l3_messages
 from tidequote.functions.text import partitions_for, row_text, total_bytes, with_text_times
 from tidequote.operators.asof import asof_join, both_feeds
+from tidequote.operators.book import book_depth
 from tidequote.operators.consolidated import consolidated
 from tidequote.operators.quotes import l3_to_l1
 from tidequote.operators.ranges import plan_ranges
@@ -140,6 +141,15 @@ def _partial_book(*keys: str) -> Query:
     return lambda spark, sf_dir: _plain_times(l3_to_l1(_partial_l3(spark, sf_dir), "full_book", keys))
 
 
+def _depth(levels: int, split: bool = False) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        messages = l3_messages(_partial_l3(spark, sf_dir))
+        ranges = plan_ranges(messages, rows_per_range=messages.count() // 20 + 1) if split else None
+        return _plain_times(book_depth(messages, levels, ranges=ranges))
+
+    return query
+
+
 def _replayed_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed delivered twice, in other files, and counted once."""
     l3 = _partial_l3(spark, sf_dir)
@@ -531,6 +541,8 @@ def queries() -> dict[str, Query]:
         "l1_as_coded_tied": _tied_quotes("as_coded"),
         "l1_full_book_partial": _partial_book(),
         "l1_full_book_partial_keyed": _partial_book(KEY),
+        "l1_depth_5": _depth(5),
+        "l1_depth_5_split": _depth(5, split=True),
         "l1_full_book_replayed": _replayed_book,
         "l3_replay_conflicts": _replay_conflicts,
         "asof_trade_quote": _asof(),

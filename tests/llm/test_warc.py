@@ -2,14 +2,18 @@ import gzip
 import hashlib
 from collections import Counter
 from io import BytesIO
+from itertools import accumulate
 
 import pyarrow.fs as pafs
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tidequote.llm import warc
 from tidequote.llm.warc import LoserTree, archive_pages, parse_record, read_members, record_bytes, url_key
+from tidequote.sources.landing import fresh_path, land
 
 BIG = "<html>" + "é" * 100 + "</html>"
 PAGES = [
@@ -120,3 +124,28 @@ def test_table(spark, sf_dir):
 
 def test_no_pages(spark):
     assert archive_pages(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_archives_are_read_by_many_tasks(spark):
+    """Adaptive execution must not coalesce the few short file names into one task."""
+    rows = [(i, f"http://h{i % 7}.org/{i}", f"page {i} " * 40) for i in range(120)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    folder = fresh_path(spark, "many")
+    files, root = pafs.FileSystem.from_uri(folder)
+    files.create_dir(root, recursive=True)
+    archives = land(warc.write_archives(warc.with_record_types(pages), folder, 2000), "archives")
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true" and archives.count() > 6
+    tasks = warc.read_runs(archives, folder).withColumn("task", F.spark_partition_id())
+    files = tasks.groupBy("task").agg(F.count_distinct("file").alias("n")).collect()
+    assert len(files) >= archives.count() // 2 and sum(r["n"] for r in files) == archives.count()
+
+
+@pytest.mark.parametrize(("step", "bite"), [(7, 3), (1 << 20, 16), (100, 1 << 14)])
+def test_members_in_small_bites(step, bite):
+    contents = [b"", b"a", b"xyz" * 500, b"end"]
+    raw = [gzip.compress(c) for c in contents]
+    got = list(read_members(BytesIO(b"".join(raw)), step, bite))
+    ends = list(accumulate(map(len, raw), initial=0))
+    assert got == [(a, b - a, c) for a, b, c in zip(ends, ends[1:], contents)]
+    with pytest.raises(ValueError, match="truncated"):
+        list(read_members(BytesIO(raw[2][:-4]), step, bite))

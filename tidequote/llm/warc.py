@@ -26,6 +26,7 @@ from tidequote.sources.landing import fresh_path, land
 MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
 ROWS_PER_RANGE = 50_000
+MAX_READ_TASKS = 1 << 15
 FIRST_CAPTURE = datetime(2024, 1, 1, tzinfo=UTC)
 
 _URL = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::(\d*))?([^#]*)", re.IGNORECASE)
@@ -94,19 +95,25 @@ def parse_record(raw: bytes) -> dict:
     }
 
 
-def read_members(stream, step: int = 1 << 20) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, compressed length, content) of each gzip member, reading ``step`` bytes at a time."""
-    offset, buffer = 0, b""
+def read_members(stream, step: int = 1 << 20, bite: int = 1 << 14) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, compressed length, content) of each gzip member, reading ``step`` bytes at a time.
+
+    A member gets ``bite`` bytes at once, so what it leaves to the next one is copied in small pieces.
+    """
+    offset, buffer, at = 0, b"", 0
     while True:
         member, parts, used = zlib.decompressobj(31), [], 0
         while not member.eof:
-            if not buffer and not (buffer := stream.read(step)):
-                if used:
-                    raise ValueError("truncated archive")
-                return
-            parts.append(member.decompress(buffer))
-            used += len(buffer) - len(member.unused_data)
-            buffer = member.unused_data
+            if at == len(buffer):
+                buffer, at = stream.read(step), 0
+                if not buffer:
+                    if used:
+                        raise ValueError("truncated archive")
+                    return
+            piece = memoryview(buffer)[at : at + bite]
+            parts.append(member.decompress(piece))
+            taken = len(piece) - len(member.unused_data)
+            at, used = at + taken, used + taken
         yield offset, used, b"".join(parts)
         offset += used
 
@@ -215,9 +222,10 @@ def read_runs(archives: DataFrame, folder: str) -> DataFrame:
                 run = pd.DataFrame(rows, columns=_INDEX_COLUMNS, dtype=object)
                 yield run.sort_values(["url_key", "captured_at", "record_offset"], kind="stable")
 
-    # one file a task: archives are of one size
-    many = archives.select("file").repartition(F.col("file"))
-    return many.mapInPandas(read, INDEX)
+    # about one file a task, as archives are of one size; a given number is not coalesced, which a repartition
+    # by the short names alone would be, down to one task
+    tasks = min(MAX_READ_TASKS, max(1, archives.count()))
+    return archives.select("file").repartitionByRange(tasks, "file").mapInPandas(read, INDEX)
 
 
 def merge_runs(runs: DataFrame, rows: int) -> DataFrame:

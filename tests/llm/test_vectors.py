@@ -163,3 +163,25 @@ def test_search_recall_of_table(spark):
         want = set(ids[np.lexsort((ids, -near.round(12)))[:5]])
         hits, total = hits + len(want & got[ids[i]]), total + 5
     assert hits >= 0.93 * total
+
+
+def test_every_length_has_its_own_neighbours(spark):
+    """Two embedding models in one table, and a few vectors of a third length."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.standard_normal(4)], 1) for i in range(0, 400)]
+    rows += [(i, [float(x) for x in rng.standard_normal(6)], 1) for i in range(1000, 1300)]
+    rows += [(5000 + i, [float(i + 1), 1.0], 1) for i in range(3)]
+    rows += [(1050, [9.0] * 4, 1)]  # an id with vectors of two lengths is one row
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, SCHEMA)).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert set(got) == {i for i in [*range(0, 400, 50), *range(1000, 1300, 50), 5000]}
+    hits = 0
+    of = {i: _unit(v) for i, v, _ in rows[:-1]}
+    for q, found in got.items():
+        others = {i: u for i, u in of.items() if i != q and len(u) == len(of[q])}
+        want = sorted(others, key=lambda i: (-round(float(of[q] @ others[i]), 12), i))[:5]
+        if q != 1050:
+            hits += len(set(want) & set(found))
+            assert len(found) == len(want)
+    assert hits >= 0.95 * (5 * (len(got) - 2) + 2) and got[5000] == [5001, 5002]

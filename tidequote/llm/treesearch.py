@@ -182,24 +182,32 @@ def nearest(
     """Rows whose id is divisible by ``every`` with their ``k`` nearest other rows by cosine.
 
     One row per neighbour: query_id, rank (from 1), vec_id, score, nearest first and ties to the
-    smaller id. All rows are indexed; recall is that of the calibration, not 1. Vectors that are
-    null, zero or not finite throughout, rows without an id, and vectors of another length than
-    most take no part. Rows that repeat an id are one row, that of the smallest digest. With
-    ``k`` other rows or fewer all are returned; an empty table gives an empty result; other
-    columns are not read.
+    smaller id. All rows are indexed, those of each length of vector by a tree of their own, as a cosine is
+    one of two vectors of one length; recall is that of the calibration, not 1. Vectors that are
+    null, zero or not finite throughout, and rows without an id, take no part. Rows that repeat an id
+    are one row, that of the smallest digest. With ``k`` other rows or fewer of its length a query gets
+    them all; an empty table gives an empty result; other columns are not read.
     """
     spark = table.sparkSession
     every_row = vector_rows(table, id_col, vector_col).where("vector is not null and vec_id is not null")
     every_row = land(every_row.select("vec_id", "vector", "dim", "norm", "key"), "vectors")
-    dims = every_row.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if dims is None:
-        return empty
-    dim, n = dims["dim"], dims["count"]
-    rows = every_row.where(F.col("dim") == dim)
-    once = rows.groupBy("vec_id").agg(F.min("key").alias("key"))
-    rows = rows.join(once, ["vec_id", "key"]).dropDuplicates(["vec_id", "key"]).select("vec_id", "vector", "norm")
-
+    once = every_row.groupBy("vec_id").agg(F.min("key").alias("key"))
+    rows = every_row.join(once, ["vec_id", "key"]).dropDuplicates(["vec_id", "key"])
+    lengths = {r["dim"]: r["count"] for r in rows.groupBy("dim").count().orderBy("dim").collect()}
+    if len(lengths) > 1:
+        rows = land(rows, "one-row-an-id")
+    found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for dim, n in lengths.items():
+        own = rows.where(F.col("dim") == dim).select("vec_id", "vector", "norm")
+        near = _nearest_of_length(own, dim, n, k, every)
+        if near is not None:
+            found = near if len(lengths) == 1 else found.unionByName(near)
+    return found
+
+
+def _nearest_of_length(rows: DataFrame, dim: int, n: int, k: int, every: int) -> DataFrame | None:
+    """The neighbours of the queries among ``n`` rows whose vectors have ``dim`` components."""
+    spark = rows.sparkSession
     leaf_rows = max(LEAF_ROWS, ROOTS_PER_LEAF * n**0.5)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
     u = np.stack([np.frombuffer(r["vector"], np.float64) / r["norm"] for r in sample])
@@ -217,7 +225,7 @@ def nearest(
     queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "vector", "norm")
     probes = queries.orderBy(F.xxhash64("vec_id", F.lit("probe")), "vec_id").limit(PROBES).collect()
     if not probes:
-        return empty
+        return None
     reach = _leaves_to_visit(tree, rows, probes, dim, k)
     first = int(np.ceil(np.sqrt(reach)))
     sizes = {r["leaf"]: r["count"] for r in rows.groupBy("leaf").count().collect()}  # at most the tree's leaves

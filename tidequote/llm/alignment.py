@@ -325,7 +325,8 @@ def aligned(docs: DataFrame, path_a: str | None = None, path_b: str | None = Non
     """
     indexed = land(index(docs, path_a, path_b), "pair-bitmaps")
     postings = indexed.where(F.col("a").isNotNull()).select("block", "a", "b", "plane", "dense", "bits")
-    weighed = postings.join(pair_counts(indexed), ["a", "b"]).select(
+    # merged at every size: a broadcast of the counted pairs would not hold for a larger vocabulary of pairs
+    weighed = postings.join(pair_counts(indexed).hint("merge"), ["a", "b"]).select(
         "block",
         "a",
         F.expr("shiftleft(links, plane)").alias("weight"),

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidequote.functions.messages import quote_messages
-from tidequote.operators.quotes import first_at_price
 from tidequote.operators.ranges import ROWS_PER_RANGE, SeqRanges, plan_ranges
 from tidequote.operators.scan import Running, scan
 from tidequote.operators.windows import merged_totals, micros, pane_totals, shape_windows
@@ -30,10 +29,8 @@ def session_panes(l3: DataFrame, gap: str, key_cols: Sequence[str] = ()) -> Data
     # whole numbers, as a quotient of doubles would be off for times far from the epoch
     messages = messages.withColumn("_at", F.unix_micros("time")).withColumn(PANE, F.expr(f"(_at - pmod(_at, {width}L)) div {width}L"))
     by = [*key_cols, PANE]
-    more = (F.min("_at").alias(FIRST), F.max("_at").alias(LAST), F.count("*").alias("n"))
-    levels = first_at_price(messages, by, *more)
-    return levels.groupBy(*by).agg(
-        F.min(FIRST).alias(FIRST), F.max(LAST).alias(LAST), *pane_totals(), F.sum("n").alias("n")
+    return messages.groupBy(*by).agg(
+        F.min("_at").alias(FIRST), F.max("_at").alias(LAST), *pane_totals(), F.count("*").alias("n")
     )
 
 

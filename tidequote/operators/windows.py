@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidequote.functions.messages import quote_messages, two_sided
-from tidequote.operators.quotes import first_at_price, quote_state
+from tidequote.operators.quotes import quote_state
 
 
 def micros(duration: str) -> int:
@@ -59,10 +59,7 @@ def fold_windows(l3: DataFrame, width: str, slide: str | None = None, key_cols:
     by = [*key_cols, "window"]
     panes = slide and not l3.isStreaming and micros(width) % micros(slide) == 0
     bounds = F.window("time", slide) if panes else F.window("time", width, slide or width)
-    if l3.isStreaming:
-        return messages.groupBy(*key_cols, bounds.alias("window")).agg(*pane_totals(), F.count("*").alias("n"))
-    levels = first_at_price(messages.withColumn("window", bounds), by, F.count("*").alias("n"))
-    folded = levels.groupBy(*by).agg(*pane_totals(), F.sum("n").alias("n"))
+    folded = messages.groupBy(*key_cols, bounds.alias("window")).agg(*pane_totals(), F.count("*").alias("n"))
     if not panes:
         return folded
     step, per_window = micros(slide), micros(width) // micros(slide)

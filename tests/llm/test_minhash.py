@@ -139,3 +139,19 @@ def test_components(spark, shape):
         assert got == {int(a): int(b) for a, b in zip(v, root, strict=True) if a != b}
     else:
         assert got == {}
+
+
+def test_an_id_with_several_texts(spark):
+    """A link goes to the text, not to whatever text its id has."""
+    words = [f"w{i}" for i in range(40)]
+    first, second = " ".join(words[:12]), " ".join(words[20:33])
+    near = second + " more"
+    rows = [(1, first), (1, second), (3, near), (3, "a text of its own that nothing is near to"), (7, first), (7, first), (8, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = {t: len(t.split()) - 2 for _, t in rows}
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect())
+    alone = rows[3][1]
+    want = [(i, sizes[t], 3 if t == alone else 1, i == (3 if t == alone else 1)) for i, t in rows]
+    assert got == sorted(want)
+    kept = sorted((r["doc_id"], r["text"]) for r in keep_one(docs).collect())
+    assert kept == sorted([(1, first), (1, second), (3, alone)])

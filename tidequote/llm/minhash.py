@@ -1,6 +1,7 @@
 """Near-duplicate documents by min-max hashing (operator 5).
 
-1. Equal shingle sets become classes with one representative.
+1. Equal shingle sets become classes, numbered (``rep``) so that texts that share an id stay apart; ids
+   come back at the end, as the smallest of each component.
 2. Bands of min-max signatures put representatives into buckets. There are as many bands of 6
    places as it takes for a pair of just the similarity asked for to share no bucket with a
    probability below 5e-6: 26 bands, of 78 hash functions, for 0.85.
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -42,39 +43,51 @@ def hash_functions(percent: int) -> int:
 def _sketches(docs: DataFrame, words: int, hashes: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, flat, offsets in shingle_sets(batch.rename_columns(["doc_id", "text"]), words):
+            for rows, flat, offsets in shingle_sets(batch, words):
                 keys = band_keys(min_max_signatures(flat, offsets, hashes), ROWS_PER_BAND).view(np.int64)
                 raw, ends = memoryview(flat.tobytes()), (offsets * 8).tolist()
-                sets = [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(ends, ends[1:], strict=False)]
+                sets = [_set_id(raw[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
                 at = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1])
                 yield pa.record_batch(
                     [
                         rows.column("doc_id"),
+                        rows.column("text_hash"),
                         pa.array(np.diff(offsets)),
                         pa.array(sets, pa.binary()),
                         pa.ListArray.from_arrays(at, pa.array(keys.ravel())),
                     ],
-                    names=["doc_id", "n_shingles", "set_id", "bands"],
+                    names=["doc_id", "text_hash", "n_shingles", "set_id", "bands"],
                 )
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return own.mapInArrow(sketch, "doc_id long, n_shingles long, set_id binary, bands array<long>")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("text_hash"), "text")
+    return own.mapInArrow(sketch, "doc_id long, text_hash long, n_shingles long, set_id binary, bands array<long>")
 
 
-def _full_sets(docs: DataFrame, words: int, hashes: int) -> DataFrame:
-    """(rep, full set, signature) of documents, as binary columns."""
+def _text_hash() -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _set_id(members: memoryview) -> bytes:
+    return hashlib.blake2b(members, digest_size=16).digest()
+
+
+def _full_sets(texts: DataFrame, words: int, hashes: int) -> DataFrame:
+    """(rep, full set, signature) of the ``texts`` (rep, set_id, text) that have the set of their class."""
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, flat, offsets in shingle_sets(batch.rename_columns(["doc_id", "text"]), words):
+            for rows, flat, offsets in shingle_sets(batch, words):
                 signatures = min_max_signatures(flat, offsets, hashes)
                 sets = [flat[a:b].tobytes() for a, b in zip(offsets, offsets[1:], strict=False)]
-                yield pa.record_batch(
-                    [rows.column("doc_id"), pa.array(sets, pa.binary()), pa.array([s.tobytes() for s in signatures], pa.binary())],
+                own = [_set_id(x) == y for x, y in zip(sets, rows.column("set_id").to_pylist(), strict=True)]
+                found = pa.record_batch(
+                    [rows.column("rep"), pa.array(sets, pa.binary()), pa.array([s.tobytes() for s in signatures], pa.binary())],
                     names=["rep", "members", "signature"],
                 )
+                yield found.filter(pa.array(own, pa.bool_()))
 
-    return docs.mapInArrow(full, "rep long, members binary, signature binary")
+    return texts.select("rep", "set_id", "text").mapInArrow(full, "rep long, members binary, signature binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -201,16 +214,25 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     Two documents are linked when their sets of distinct ``words``-word shingles (bytes A-Z in
     lower case, words between 0x20 and 0x09-0x0D) have 100 * intersection >= percent * union.
     A text without words, or null, has an empty set and links with nothing. Repeated rows are
-    linked by their equal sets. A row whose id is null takes no part: its component_id is null
-    and it is kept. An empty table gives an empty result; only ``doc_id`` and ``text`` are read.
+    linked by their equal sets; where an id has several texts, each row has the links of its own.
+    A row whose id is null takes no part: its component_id is null and it is kept. Sets are of whole
+    texts, however long. An empty table gives an empty result; only ``doc_id`` and ``text`` are read.
     """
     if not 0 < percent < 100:
         raise ValueError("percent must lie between 0 and 100")
+    return _in_components(docs, words, percent).drop("text_hash")
+
+
+def _in_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """As ``near_duplicates``, with the ``text_hash`` of each row."""
     hashes = hash_functions(percent)
     sketches = land(_sketches(docs, words, hashes), "sketches")
     real = sketches.where("n_shingles > 0 and doc_id is not null")
-    classes = real.groupBy("set_id").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("r"))
-    classes = land(classes.select("set_id", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.bands"), "classes")
+    classes = real.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash", "n_shingles", "bands")).alias("r"))
+    classes = classes.select(
+        "set_id", F.monotonically_increasing_id().alias("rep"), F.col("r.n_shingles").alias("n"), "r.bands", "r.doc_id", "r.text_hash"
+    )
+    classes = land(classes, "classes")  # the numbers hold once they are written
 
     places = classes.select("rep", "n", F.explode("bands").alias("band"))
     heads = places.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("h"), F.count("*").alias("size")).where("size > 1")
@@ -219,9 +241,9 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     alike = F.least("n", "head_n") * 100 >= F.greatest("n", "head_n") * percent
     stars = members.where(alike & (F.col("rep") != F.col("head"))).select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
 
-    asked = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    texts = texts.join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    asked = classes.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "set_id", "doc_id", "text_hash")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("text_hash"), "text")
+    texts = texts.join(asked, ["doc_id", "text_hash"]).dropDuplicates(["rep"])
     sets = land(_full_sets(texts, words, hashes), "sets")
 
     links = land(_confirmed(stars, sets, percent), "links")
@@ -233,25 +255,39 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     more = _across_components(open_rows, sets, percent)
     roots = components(roots.unionByName(more.toDF("id", "component_id")))
 
-    own = classes.select("set_id", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-    own = own.select("set_id", F.coalesce("component_id", "rep").alias("found"))
+    joined = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "inner")
+    lowest = joined.select("component_id", "doc_id").unionByName(
+        classes.join(roots.select(F.col("component_id").alias("rep")).distinct(), "rep", "left_semi").select(
+            F.col("rep").alias("component_id"), "doc_id"
+        )
+    )
+    lowest = lowest.groupBy("component_id").agg(F.min("doc_id").alias("low"))
+    roots = roots.unionByName(lowest.select(F.col("component_id").alias("id"), "component_id")).join(lowest, "component_id")
+    own = classes.select("set_id", "rep", "doc_id").join(roots.select(F.col("id").alias("rep"), "low"), "rep", "left")
+    own = own.select("set_id", F.coalesce("low", "doc_id").alias("found"))
     key = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_id"))
-    out = sketches.select("doc_id", "n_shingles", key.alias("set_id")).join(own, "set_id", "left")
+    out = sketches.select("doc_id", "text_hash", "n_shingles", key.alias("set_id")).join(own, "set_id", "left")
     component = F.coalesce("found", "doc_id")
     return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
+        "doc_id",
+        "text_hash",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
 
 
 def keep_one(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the smallest ``doc_id`` stays.
 
-    Rows that share an id share its fate, and of rows equal in id and text one stays. Rows
-    without words or without an id stay as they are.
+    Where an id has several texts, only those in a group of a smaller id go; of rows equal in id and
+    text one stays. Rows without words or without an id stay as they are, and so do an empty table and
+    extra columns; a very long text is compared by its whole set.
     """
-    dropped = near_duplicates(docs, words, percent).where(~F.col("kept")).select("doc_id").distinct()
     hashed, turn = free_names(docs, "text_hash", "turn")
+    dropped = _in_components(docs.select("doc_id", "text"), words, percent).where(~F.col("kept"))
+    dropped = dropped.select("doc_id", F.col("text_hash").alias(hashed)).distinct()
     same = F.row_number().over(W.partitionBy("doc_id", hashed).orderBy(F.lit(0)))
-    left = docs.where("doc_id is not null").join(dropped, "doc_id", "left_anti")
-    left = left.withColumn(hashed, F.xxhash64("text")).withColumn(turn, same).where(F.col(turn) == 1)
+    left = docs.where("doc_id is not null").withColumn(hashed, _text_hash())
+    left = left.join(dropped, ["doc_id", hashed], "left_anti").withColumn(turn, same).where(F.col(turn) == 1)
     return left.select(*docs.columns).unionByName(docs.where("doc_id is null"))

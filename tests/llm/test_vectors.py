@@ -185,3 +185,25 @@ def test_every_length_has_its_own_neighbours(spark):
             hits += len(set(want) & set(found))
             assert len(found) == len(want)
     assert hits >= 0.95 * (5 * (len(got) - 2) + 2) and got[5000] == [5001, 5002]
+
+
+def test_an_id_with_several_vectors(spark):
+    """Each row has the links of its own vector; components go through the rows, not the id."""
+    at = lambda a: [float(np.cos(a)), float(np.sin(a))]
+    rows = [(1, at(0.0), 1), (1, at(2.0), 1), (2, at(0.0), 1), (3, at(0.2), 1), (4, at(-0.2), 1), (9, at(2.1), 1), (8, at(2.1), 1), (8, at(4.0), 1)]
+    _check_rows(spark, rows)
+
+
+def _check_rows(spark, rows):
+    u = [_unit(v) for _, v, _ in rows]
+    n, root = [], list(range(len(rows)))
+    for i in range(len(rows)):
+        links = [j for j in range(len(rows)) if j != i and u[i] @ u[j] >= 0.93]
+        n.append(len(links))
+        for j in links:
+            a, b = root[i], root[j]
+            root = [a if r == b else r for r in root]
+    low = {r: min(rows[i][0] for i in range(len(rows)) if root[i] == r) for r in root}
+    want = sorted((rows[i][0], n[i], low[root[i]], rows[i][0] == low[root[i]]) for i in range(len(rows)))
+    got = near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == want

@@ -27,34 +27,21 @@ LEADING = 6
 BLOCK = 1024
 FAN = 8
 ROWS_PER_RANGE = 20_000
-
-
-def _covariance(rows: DataFrame, dim: int) -> np.ndarray:
-    """Covariance of all directions of one length; partial sums of every task are added up."""
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((dim + 1, dim + 1))
-        for batch in batches:
-            if batch.num_rows:
-                u = directions(matrix(batch.column("vector"), dim), batch.column("norm").to_numpy())
-                u = np.concatenate([u, np.ones((len(u), 1))], 1)
-                total += u.T @ u
-        at = np.arange((dim + 1) ** 2, dtype=np.int32)
-        yield pa.record_batch([pa.array(at), pa.array(total.ravel())], names=["at", "part"])
-
-    parts = rows.where(F.col("dim") == dim).select("vector", "norm").mapInArrow(sums, "at int, part double")
-    total = np.zeros((dim + 1) ** 2)
-    for r in parts.groupBy("at").agg(F.sum("part").alias("total")).collect():
-        total[r["at"]] = r["total"]
-    total = total.reshape(dim + 1, dim + 1) / max(total[-1], 1)
-    return total[:-1, :-1] - np.outer(total[-1, :-1], total[-1, :-1])
+AXIS_SAMPLE = 2048
 
 
 def _axes(rows: DataFrame) -> dict[int, np.ndarray]:
-    """Leading principal axes for each length of vector (few, as a table has few models)."""
+    """Leading principal axes for each length of vector (few, as a table has few models).
+
+    They are fitted on at most ``AXIS_SAMPLE`` classes of a length, drawn by a hash: distances along any
+    orthonormal axes bound distances, so the sample decides what is skipped early and never what is found.
+    """
     axes = {}
     for r in rows.select("dim").distinct().collect():
-        values, vectors = np.linalg.eigh(_covariance(rows, r["dim"]))
+        own = rows.where(F.col("dim") == r["dim"]).select("vector", "norm", "key")
+        drawn = own.orderBy(F.xxhash64("key"), "key").limit(AXIS_SAMPLE).collect()
+        u = np.stack([np.frombuffer(x["vector"], np.float64) / x["norm"] for x in drawn])
+        values, vectors = np.linalg.eigh(np.atleast_2d(np.cov(u, rowvar=False, bias=True)))
         axes[r["dim"]] = vectors[:, np.argsort(values)[::-1][:LEADING]]
     return axes
 
@@ -198,7 +185,8 @@ def near_vectors(
     precision is at least ``cosine``. ``n_links`` counts the other rows linked directly,
     ``component_id`` is the smallest id reachable. Rows without a label or whose vector is null,
     zero or not finite throughout link with nothing and are their own component; a null id gives
-    a null component and is kept. Repeated rows link with each other. Equal vectors are compared
+    a null component and is kept. Repeated rows link with each other, and where an id has several vectors
+    each row has the links of its own. Equal vectors are compared
     once, as a class. An empty table gives an empty result; other columns are not read.
     """
     if not 0 < cosine < 1:
@@ -207,10 +195,11 @@ def near_vectors(
     every = land(vector_rows(table, id_col, vector_col, F.col(label_col)), "vectors")
     usable = every.where("vector is not null and label is not null and vec_id is not null")
     classes = usable.groupBy("label", "dim", "key").agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("size"), F.first("vector").alias("vector"), F.first("norm").alias("norm")
+        F.min("vec_id").alias("low"), F.count("*").alias("size"), F.first("vector").alias("vector"), F.first("norm").alias("norm")
     )
-    classes = land(classes, "classes")
-    members = land(_blocks(_located(classes, _axes(classes), epsilon), classes.count()), "blocks")
+    # classes have numbers, as vectors of one id may be in several; the numbers hold once they are written
+    classes = land(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    members = land(_blocks(_located(classes.drop("low"), _axes(classes), epsilon), classes.count()), "blocks")
     numbers = members.select("label", "dim", "part", "block").distinct()
     by_order = W.partitionBy("label", "dim").orderBy("part", "block")
     numbers = numbers.withColumn("number", F.row_number().over(by_order) - 1)
@@ -219,12 +208,11 @@ def near_vectors(
     counts = found.where("`to` is null").groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.where("`to` is not null").select("rep", "to"))
     of_class = classes.join(counts, "rep", "left").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-    of_class = of_class.select(
-        "label",
-        "dim",
-        "key",
-        (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
-        F.coalesce("component_id", "rep").alias("root"),
+    of_class = of_class.withColumn("component", F.coalesce("component_id", "rep"))
+    of_class = land(of_class.select("label", "dim", "key", "size", "links", "low", "component"), "linked-classes")
+    lowest = of_class.groupBy("component").agg(F.min("low").alias("root"))
+    of_class = of_class.join(lowest, "component").select(
+        "label", "dim", "key", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("links"), "root"
     )
     key = F.when(F.col("vec_id").isNotNull(), F.col("key")).alias("key")
     own = every.select("vec_id", "label", "dim", key).join(of_class, ["label", "dim", "key"], "left")

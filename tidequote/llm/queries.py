@@ -80,6 +80,96 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def _edit(path: str, cost: str, letters: str, line: str = "''") -> str:
+    """``path`` (nine digits of cost, edits, chr(1), lines) with more edits, and lines that begin with a newline."""
+    cut = f"strpos({path}, chr(1))"
+    return (
+        f"lpad(cast(cast({path}[1:9] as integer) + {cost} as varchar), 9, '0') || {path}[10:{cut} - 1] || "
+        f"'{letters}' || {path}[{cut}:] || {line}"
+    )
+
+
+def _repair_sql() -> str:
+    """The cheapest path to every last role (n none, s, u, a), row by row.
+
+    Paths compare as text: by cost, then by edits, as chr(1) is before every letter. Inserts lead from
+    one column to the next before each row, and behind the last one.
+    """
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    both = f"{user} || {assistant}"
+    to_user = ", ".join(["u", *(_edit(x, "2", "I", user) for x in "nsa")])
+    to_assistant = ", ".join(["a", _edit("u", "2", "I", assistant), *(_edit(x, "4", "II", both) for x in "ns")])
+    kept = "chr(10) || role || ':' || text"
+
+    def row(role: str, sources: str) -> str:
+        name = "user" if role == "u" else "assistant"
+        ways = [
+            f"case when kind = '{role}' then {_edit(x, 'cut', 'K', kept)} "
+            f"else {_edit(x, '2 + cut', 'R', f"chr(10) || '{name}:' || text")} end"
+            for x in sources
+        ]
+        return ", ".join(f"case when not must_go then {w} end" for w in ways)
+
+    closing = ", ".join(["n", "a", _edit("u", "2", "I", assistant), _edit("s", "4", "II", both)])
+    blank = r"not regexp_matches(text, '[^\x20\x09-\x0D]')"
+    truncated = r"not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z')"
+    bits = "case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end"
+    return f"""
+        with recursive crc(i, step, x) as (
+            select i, 0, i from range(256) r(i)
+            union all
+            select i, step + 1, {bits} from crc where step < 8
+        ), tab as (
+            select list(x order by i) as t from crc where step = 8
+        ), keyed as (
+            select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k
+            from conversations
+        ), hit as (
+            select conv_id, turn, role, text, xor(list_reduce(
+                list_prepend(4294967295, list_transform(range(1, length(k) + 1), lambda j: cast(ascii(k[j]) as bigint))),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 as h
+            from keyed, tab
+        ), damaged as (
+            select conv_id, turn, case h when 4 then 'user' else role end as role,
+                case h when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, copy
+            from hit, unnest([0, 1]) as c(copy) where h <> 0 and (copy = 0 or h = 3)
+        ), faults as (
+            select *, {blank} as blank, {truncated} as unfinished, role[1:1] as kind,
+                row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as seen,
+                row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+                lag(role[1:1]) over (partition by conv_id order by turn nulls first, role, text, copy) as former
+            from damaged
+        ), marked as (
+            select *, blank or seen as must_go, cast(unfinished as integer) as cut from faults
+        ), stats as (
+            select conv_id, count(*) as rows, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+                count_if(blank) as blank, count_if(seen and not blank) as duplicate,
+                count_if(unfinished and not blank and not seen) as truncated,
+                count_if(former is not null and former || kind not in ('su', 'ua', 'au')) as illegal
+            from marked group by conv_id
+        ), paths(conv_id, i, n, s, u, a) as (
+            select distinct conv_id, cast(0 as bigint), '000000000' || chr(1), cast(null as varchar), cast(null as varchar),
+                cast(null as varchar)
+            from conversations
+            union all
+            select p.conv_id, p.i + 1, {_edit("n", "3", "D")},
+                least({_edit("s", "3", "D")}, case when not must_go and kind = 's' then {_edit("n", "cut", "K", kept)} end),
+                least({_edit("u", "3", "D")}, {row("u", "nsa")}),
+                least({_edit("a", "3", "D")}, {row("a", "u")})
+            from (select conv_id, i, n, s, least({to_user}) as u, least({to_assistant}) as a from paths) p
+            join marked m on m.conv_id is not distinct from p.conv_id and m.i = p.i + 1
+        ), ends as (
+            select conv_id, least({closing}) as path from paths
+            qualify row_number() over (partition by conv_id order by i desc) = 1
+        )
+        select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+            coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(path[1:9] as bigint) as cost,
+            path[10:strpos(path, chr(1)) - 1] as audit, sha256(path[strpos(path, chr(1)) + 2:]) as repaired_sha256
+        from ends e left join stats s on s.conv_id is not distinct from e.conv_id
+    """
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -97,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op12_conversations": _repair_sql(),
     "op3_gridorder": """
         with recursive v as (
             select vec_id, label, embedding::double[] as e from embeddings

@@ -2,9 +2,9 @@
 
 A text's bytes are embedded and filters of ``WIDTH`` bytes slide over all of them, two bytes at a
 time. Maxima of the filters over overlapping chunks describe the chunks; a small layer gives each
-chunk a vote; the most and the mean of the votes make the probability. Everything is learned by
-gradient descent in numpy on a bounded sample of labelled documents, and texts are scored whole,
-in tiles, so memory does not depend on their length.
+chunk a vote; the least and the mean of the votes make the probability. Everything is learned by
+gradient descent in numpy on a bounded sample of labelled documents, and texts are scored whole. Filters
+work in tiles, but a text is widened as a whole: one takes some 17 bytes of memory a byte.
 """
 
 from __future__ import annotations
@@ -188,7 +188,9 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL,
     """Learns from at most ``per_label`` documents of each label, drawn by a hash of their ids.
 
     Only labels 0 and 1 of documents that are not held out count. The draw is made on ids, so
-    texts of at most ``2 * per_label`` documents reach the driver.
+    texts of at most ``2 * per_label`` documents reach the driver. An id with both labels is left out, and
+    of an id with several texts one is learned. Without labels, or with an empty table, the network
+    stays as it was drawn: its scores are numbers from 0 to 1 that say nothing.
     """
     usable = labels.where(F.col("quality").isin(0, 1) & ~held_out()).select("doc_id", "quality").dropna()
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
@@ -212,8 +214,8 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL,
 def score_quality(docs: DataFrame, params: Params) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row; one pass, no shuffle.
 
-    A null or empty text gets the score of an empty text; a null id is kept and not held out;
-    repeated rows are scored one by one; only ``doc_id`` and ``text`` are read.
+    A null or empty text gets the score of an empty text; a very long one is scored as a whole; a null id
+    is kept and not held out; repeated rows are scored one by one; an empty table gives an empty result; only ``doc_id`` and ``text`` are read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(params)
 
@@ -229,7 +231,10 @@ def score_quality(docs: DataFrame, params: Params) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, params: Params) -> DataFrame:
-    """The rows of ``docs`` whose text is predicted to be good, all columns as they are."""
+    """The rows of ``docs`` whose text is predicted to be good, all columns as they are.
+
+    Nulls, empty and very long texts, repeated rows, null ids and an empty table are as in ``score_quality``.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(params)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

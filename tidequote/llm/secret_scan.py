@@ -152,7 +152,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row: its id, counts of the base kinds, a digest of the base spans, and all spans.
 
     A null or empty text has no spans (the digest is that of the empty string); repeated rows
-    are scanned one by one; a null id is kept; other columns are not read. One pass, no shuffle.
+    are scanned one by one; a null id is kept; an empty table gives an empty result; other columns are
+    not read. A very long text is scanned as a whole. One pass, no shuffle.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

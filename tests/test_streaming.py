@@ -140,10 +140,20 @@ def test_continuous_equals_batch_when_files_come_in_order(spark, tmp_path, mode)
     assert quotes_by_seq(output(spark, opts)) == EDGE_QUOTES[mode]
 
 
-def test_modes_without_a_carried_state_are_refused(spark, tmp_path):
-    opts = options(tmp_path, str(tmp_path), continuous=True, mode="full_book")
+def test_modes_without_a_carried_state_are_refused(tmp_path):
     with pytest.raises(ValueError, match="full_book"):
-        run_stream(spark, opts)
+        continuous_sink(str(tmp_path / "out"), str(tmp_path / "state"), mode="full_book")
+
+
+def test_continuous_full_book(spark, tmp_path):
+    """The job carries the book on from batch to batch, also when it starts anew between them."""
+    source = tmp_path / "in"
+    opts = options(tmp_path, str(source), continuous=True, mode="full_book", input_file_format="parquet", max_files_per_trigger=None)
+    for lo, hi in ((0, 4), (5, 9), (10, 13)):
+        part = edge_l3(spark).where(F.col("seq_num").between(lo, hi))
+        part.coalesce(1).write.mode("append").parquet(str(source))
+        finish(spark, opts)
+    assert quotes_by_seq(output(spark, opts)) == EDGE_QUOTES["full_book"]
 
 
 def test_windows_drop_late_rows_and_wait_for_the_watermark(spark, tmp_path):

@@ -399,7 +399,7 @@ def oracle_sql() -> dict[str, str]:
         "l1_depth_5_split": _depth(5),
         "l1_full_book_replayed": _partial(_book()),
         "l3_replay_conflicts": _l3_query(
-            """select seq_num, cast(qty as integer) + extra as add_qty, 2 - extra as copies, 2 as versions
+            """select seq_num, cast(qty as integer) + extra as add_qty, cast(2 - extra as bigint) as copies, cast(2 as bigint) as versions
             from l3, unnest([0, 1]) as u(extra) where seq_num % 10 = 0 and action = 'add'"""
         ),
         "asof_trade_quote": _asof(_L3),

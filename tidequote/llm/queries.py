@@ -113,6 +113,7 @@ def _repair_sql() -> str:
     closing = ", ".join(["n", "a", _edit("u", "2", "I", assistant), _edit("s", "4", "II", both)])
     blank = r"not regexp_matches(text, '[^\x20\x09-\x0D]')"
     truncated = r"not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z')"
+    longs = ", ".join(f"cast(coalesce({c}, 0) as bigint) as {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal"))
     bits = "case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end"
     return f"""
         with recursive crc(i, step, x) as (
@@ -163,8 +164,7 @@ def _repair_sql() -> str:
             select conv_id, least({closing}) as path from paths
             qualify row_number() over (partition by conv_id order by i desc) = 1
         )
-        select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
-            coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(path[1:9] as bigint) as cost,
+        select e.conv_id, {longs}, cast(path[1:9] as bigint) as cost,
             path[10:strpos(path, chr(1)) - 1] as audit, sha256(path[strpos(path, chr(1)) + 2:]) as repaired_sha256
         from ends e left join stats s on s.conv_id is not distinct from e.conv_id
     """

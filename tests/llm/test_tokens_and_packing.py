@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidequote.llm import bpe
-from tidequote.llm.packing import ROUNDS, best_fit, pack, pack_histogram, plan_table, solve_configurations
+from tidequote.llm.packing import best_fit, pack, pack_histogram, plan_table, rounded, solve_program
 from tidequote.llm.textbytes import chunks, text_bytes, word_counts, word_spans
 from tidequote.llm.tokens import count_tokens
 
@@ -117,17 +117,44 @@ def test_configurations_beat_best_fit():
     assert sum(n for _, n in pack_histogram({1: 10**9}, 2048)) == -(-(10**9) // 2048)
 
 
-def test_configurations_cover_the_demand():
-    # few pieces of each of many lengths: the program itself places them all, most in full sequences
-    lengths = np.minimum(np.random.default_rng(5).exponential(400, 6000).astype(int) + 1, 2048)
-    demand = dict(Counter(lengths.tolist()))
-    solved = solve_configurations(demand, 2048, ROUNDS)
-    assert _total(solved) == demand
-    filled = [(sum(k * c for k, c in config.items()), n) for config, n in solved]
-    need = -(-sum(k * n for k, n in demand.items()) // 2048)
-    assert max(size for size, _ in filled) <= 2048
-    assert sum(n for _, n in filled) <= 1.01 * need + 1
-    assert sum(n for size, n in filled if size == 2048) >= 0.6 * need
+def _drawn(n):
+    lengths = np.minimum(np.random.default_rng(5).exponential(400, n).astype(int) + 1, 2048)
+    return dict(Counter(lengths.tolist()))
+
+
+def test_program_covers_the_demand():
+    # few pieces of each of many lengths
+    demand = _drawn(6000)
+    program, bound = solve_program(demand, 2048)
+    held = _total(program)
+    assert all(abs(held[k] - n) < 1e-6 * n for k, n in demand.items())
+    assert max(sum(k * n for k, n in config.items()) for config, _ in program) <= 2048
+    value, need = sum(x for _, x in program), sum(k * n for k, n in demand.items()) / 2048
+    assert need - 1e-6 <= bound <= value <= 1.01 * bound
+
+
+def test_program_against_all_configurations():
+    # the program's optimum by hand: 3 sequences of (6, 4), and the seven 3s by three need 7/3
+    demand = {6: 3, 4: 3, 3: 7}
+    program, bound = solve_program(demand, 10)
+    assert bound <= 3 + 7 / 3 + 1e-9 <= sum(x for _, x in program) + 2e-9
+    assert sum(x for _, x in program) <= 1.1 * (3 + 7 / 3)
+    # nothing fits beside them: as many sequences as pieces
+    program, bound = solve_program({7: 5, 8: 2}, 10)
+    assert 6.5 <= bound <= 7 + 1e-9 and abs(sum(x for _, x in program) - 7) < 1e-6
+
+
+def test_rounding_keeps_most_of_the_program():
+    for pieces in (6000, 60_000):
+        demand = _drawn(pieces)
+        need = -(-sum(k * n for k, n in demand.items()) // 2048)
+        placed = rounded(solve_program(demand, 2048)[0], demand, 2048)
+        held = _total(placed)
+        assert all(held[k] <= demand[k] for k in held)
+        assert sum(n for _, n in placed) >= 0.7 * need
+        plan = pack_histogram(demand, 2048)
+        assert _total(plan) == demand
+        assert sum(n for _, n in plan) <= need + 1
 
 
 @pytest.mark.parametrize("source", ["messy", "documents"])

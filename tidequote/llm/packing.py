@@ -2,10 +2,10 @@
 
 Only the histogram of lengths, at most ``capacity`` numbers, reaches the driver. There the linear
 program over configurations (multisets of lengths that fit one sequence) is solved by
-multiplicative weights: every round prices the lengths by how little of them is covered, and adds
-whole numbers of the configurations that are most valuable by knapsack dynamic programming, until
-all is covered. Rounding leaves some of them not full; their pieces, again a histogram, go
-best-fit into sequences.
+multiplicative weights: every round prices the lengths by how little of them is covered, finds the
+most valuable configurations by knapsack dynamic programming, and gives them fractional weights.
+The weights are rounded to whole numbers within the demand; only what rounding leaves over, again a
+histogram, goes best-fit into sequences.
 The plan names a rank interval of each length per configuration, so its size depends on the
 number of lengths and rounds, not on the documents. Spark ranks the pieces of each length and
 looks their places up.
@@ -13,6 +13,7 @@ looks their places up.
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -29,67 +30,108 @@ from tidequote.sources.landing import land
 
 CAPACITY = 2048
 ROUNDS = 25
-RATE = 1.0
+ACCURACY = 0.03
 SLACK = 0.01
+WIDER = 1.0005
+RELEASE = 32
+_EPS = 1e-9
 ROWS_PER_BUCKET = 100_000
 MIN_BUCKETS = 64
 
-Plan = list[tuple[dict[int, int], int]]
+Plan = list[tuple[dict[int, int], float]]
 
 
 def most_values(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """(most value within each room, first length that fits it); lengths fall (unbounded knapsack)."""
     best = np.zeros(capacity + 1)
     fits = np.searchsorted(-lengths, -np.arange(capacity + 1))
-    for room in range(1, capacity + 1):
-        k = fits[room]
-        best[room] = best[room - 1]
-        if k < len(lengths):
-            best[room] = max(best[room], (best[room - lengths[k:]] + prices[k:]).max())
+    least = int(lengths[-1])
+    worth = np.full(capacity + 1, -np.inf)
+    worth[lengths] = prices
+    for room in range(least, capacity + 1):
+        best[room] = max(best[room - 1], (best[room - least :: -1] + worth[least : room + 1]).max())
     return best, fits
 
 
-def solve_configurations(demand: dict[int, int], capacity: int, rounds: int) -> Plan:
-    """Whole numbers of configurations that together hold exactly the demand, by multiplicative weights.
+def solve_program(demand: dict[int, int], capacity: int, rounds: int = ROUNDS) -> tuple[Plan, float]:
+    """Fractional weights of configurations that cover the demand, and a bound below any such covering.
 
-    A round takes at most one part in ``rounds`` of the pieces of a length, or one piece, and the
-    configurations whose value is within ``SLACK`` of the most; rounds go on until all is covered.
+    Multiplicative weights: every round takes at most one part in ``rounds`` of the demand of a length, by
+    the configurations whose value is within ``SLACK`` of the most, and then lowers the prices of what
+    it covered, by a factor of at most ``1 + ACCURACY``. The most that a configuration is worth under
+    any prices bounds the program from below; the best of these bounds is returned.
     """
     lengths = np.array(sorted(demand, reverse=True))
-    wanted = np.array([demand[int(k)] for k in lengths], np.int64)
-    left, step = wanted.copy(), -(-wanted // rounds)
-    found: dict[tuple, int] = {}
-    while left.any():
-        own = np.flatnonzero(left)
-        size = lengths[own]
-        # a length is worth its size, more while less of it is covered than of the others
-        prices = size * np.exp(RATE * left[own] / wanted[own])
+    wanted = np.array([demand[int(k)] for k in lengths], float)
+    left = np.ones(len(lengths))
+    rate = rounds * math.log1p(ACCURACY)
+    found: dict[tuple, float] = {}
+    bound, slack = 0.0, SLACK
+    while (left > 0).any():
+        own = np.flatnonzero(left > 0)
+        size, each_most = lengths[own], wanted[own]
+        sizes = size.tolist()
+        prices = size * np.exp(rate * (left[own] - left.max()))
         best, fits = most_values(size, prices, capacity)
-        quota = np.minimum(step[own], left[own])
+        bound = max(bound, float(prices @ wanted[own]) / best[capacity])
+        quota = np.minimum(1 / rounds, left[own])  # parts of the demand
         priced = prices.copy()  # less than 0 where the quota is used up
         first = True
+        choice = [-1] * (capacity + 1)  # the piece to take next by free room, found when asked for
         while True:
-            own_prices, config, room, value = priced.copy(), {}, capacity, 0.0
+            config, room, value = {}, capacity, 0.0
             while (k := fits[room]) < len(size):
-                i = k + int((best[room - size[k:]] + own_prices[k:]).argmax())
-                if own_prices[i] < 0:
-                    break
+                i = choice[room]
+                if i < 0 or priced[i] < 0 or config.get(i, 0) == each_most[i]:
+                    own_prices = priced[k:].copy()
+                    spent = [j - k for j, n in config.items() if j >= k and n == each_most[j]]
+                    own_prices[spent] = -np.inf
+                    i = k + int((best[room - size[k:]] + own_prices).argmax())
+                    if own_prices[i - k] < 0:
+                        break
+                    if not spent:
+                        choice[room] = i
                 config[i] = config.get(i, 0) + 1
                 value += prices[i]
-                if config[i] == quota[i]:
-                    own_prices[i] = -np.inf
-                room -= int(size[i])
-            if not config or (not first and value < (1 - SLACK) * best[capacity]):
+                room -= sizes[i]
+            if not config or (not first and value < (1 - slack) * best[capacity]):
                 break
             first = False
             at, each = np.array(list(config)), np.array(list(config.values()))
-            times = int((quota[at] // each).min())
-            quota[at] -= times * each
-            left[own[at]] -= times * each
-            priced[at[quota[at] == 0]] = -np.inf
-            key = tuple((int(size[i]), n) for i, n in config.items())
-            found[key] = found.get(key, 0) + times
-    return [(dict(k), n) for k, n in found.items()]
+            parts = each / each_most[at]
+            times = float((quota[at] / parts).min())
+            quota[at] -= times * parts
+            left[own[at]] -= times * parts
+            used = at[quota[at] <= _EPS]
+            priced[used] = -np.inf
+            quota[used] = 0.0
+            key = tuple((sizes[i], n) for i, n in config.items())
+            found[key] = found.get(key, 0.0) + times
+        left[left <= _EPS] = 0.0
+        slack *= WIDER  # so that rounds end
+    return [(dict(k), x) for k, x in found.items()], bound
+
+
+def rounded(program: Plan, demand: dict[int, int], capacity: int) -> Plan:
+    """Whole numbers of the program's fullest configurations that stay within the demand, few pieces first.
+
+    All are rounded down, then each is taken once more where its pieces are left, those of few pieces
+    first. Fullest is what no configuration exceeds: those below it would add to the sequences.
+    """
+    left = dict(demand)
+    most = max(sum(k * n for k, n in config.items()) for config, _ in program)
+    full = [(config, x) for config, x in program if sum(k * n for k, n in config.items()) == most]
+    full.sort(key=lambda c: (sum(c[0].values()), int(c[1]) - c[1]))
+    whole = [int(x + _EPS) for _, x in full]
+    for (config, _), times in zip(full, whole, strict=True):
+        for k, n in config.items():
+            left[k] -= n * times
+    for i, (config, _) in enumerate(full):
+        if all(left[k] >= n for k, n in config.items()):
+            whole[i] += 1
+            for k, n in config.items():
+                left[k] -= n
+    return [(config, times) for (config, _), times in zip(full, whole, strict=True) if times]
 
 
 def best_fit(demand: dict[int, int], capacity: int) -> Plan:
@@ -126,23 +168,37 @@ def best_fit(demand: dict[int, int], capacity: int) -> Plan:
 def pack_histogram(demand: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
     """Configurations with how often each is used; together they hold exactly the demand.
 
-    The program's configurations that are full stay; the pieces of the others go best-fit. Best fit
-    of everything is taken instead only where it needs fewer sequences than that.
+    The program places what rounding keeps, and best fit what rounding left over. Where that lacks
+    small pieces to fill up with, one part in ``RELEASE`` of the rounded sequences, those of the most
+    pieces, go to the remainder too, again while that saves sequences.
     """
-    demand = {k: n for k, n in demand.items() if n}
-    if not demand:
+    left = {k: n for k, n in demand.items() if n}
+    if not left:
         return []
-    plan: Plan = []
-    left: dict[int, int] = {}
-    for config, times in solve_configurations(demand, capacity, rounds):
-        if sum(k * n for k, n in config.items()) == capacity:
-            plan.append((config, times))
-            continue
+    need = -(-sum(k * n for k, n in left.items()) // capacity)
+    placed = rounded(solve_program(left, capacity, rounds)[0], left, capacity)
+    for config, times in placed:
         for k, n in config.items():
-            left[k] = left.get(k, 0) + n * times
-    plan += best_fit(left, capacity)
-    plain = best_fit(demand, capacity)
-    return min(plan, plain, key=lambda p: sum(n for _, n in p))
+            left[k] -= n * times
+    plan: Plan = []
+    fewest = math.inf
+    while True:
+        found = placed + best_fit(left, capacity)
+        if (used := sum(n for _, n in found)) >= fewest:
+            return plan
+        plan, fewest = found, used
+        if used == need or not placed:
+            return plan
+        release = -(-sum(n for _, n in placed) // RELEASE)
+        placed = list(placed)
+        while release:
+            config, times = placed.pop()
+            back = min(times, release)
+            release -= back
+            for k, n in config.items():
+                left[k] += n * back
+            if times > back:
+                placed.append((config, times - back))
 
 
 def plan_table(plan: Plan) -> np.ndarray:

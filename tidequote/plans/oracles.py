@@ -46,6 +46,17 @@ _WIDE = """
 _BATCH = "seq_num * 3 // (select max(event_id) + 1 from events)"
 
 
+def _lives(minutes: int, *keys: str) -> str:
+    return _l3_query(
+        f"""select {"".join(f"a.{k}, " for k in keys)}a.order_id, a.side, a.price, a.qty, a.time as opened, a.seq_num as opened_seq,
+          e.action as ended_by, e.time as ended, e.seq_num as ended_seq, e.qty as ended_qty
+        from l3 a left join l3 e on e.order_id = a.order_id and e.action in ('delete', 'trade')
+          and e.time between a.time and a.time + interval {minutes} minutes and e.seq_num > a.seq_num
+          {"".join(f"and e.{k} is not distinct from a.{k}" for k in keys)}
+        where a.action = 'add'"""
+    )
+
+
 def _tied(mode: str) -> str:
     """Running values over peers; the first message at a price is that of the least order value,
     nulls before all, and of its peers the one of the larger size."""
@@ -405,6 +416,10 @@ def oracle_sql() -> dict[str, str]:
         "asof_trade_quote": _asof(_L3),
         "asof_trade_quote_split": _asof(_SKEW, "t.time - q.time <= interval 10 minutes"),
         "asof_delete_trade": _ASOF_DELETES,
+        "order_life": _lives(60),
+        "order_life_keyed": _lives(10, key),
+        "stream_order_life": _lives(60),
+        "stream_order_life_keyed": _lives(10, key),
         "l1_consolidated": _consolidated(),
         "l1_consolidated_split": _consolidated(skewed=True),
         "l1_window_session": _sessions(5),

@@ -17,6 +17,7 @@ from tidequote.functions.text import partitions_for, row_text, total_bytes, with
 from tidequote.operators.asof import asof_join, both_feeds
 from tidequote.operators.book import book_depth
 from tidequote.operators.consolidated import consolidated
+from tidequote.operators.lives import order_lives
 from tidequote.operators.quotes import l3_to_l1
 from tidequote.operators.ranges import plan_ranges
 from tidequote.operators.replays import without_replays
@@ -31,6 +32,7 @@ from tidequote.sources.events import l3_from_events
 from tidequote.sources.files import cast_to, read_csv, read_csv_text, read_file_stream
 from tidequote.sources.landing import fresh_path, land
 from tidequote.sources.quarantine import intake
+from tidequote.streaming.lives import life_stream
 from tidequote.streaming.sessions import session_sink
 from tidequote.streaming.windowed import windowed_stream
 
@@ -193,6 +195,10 @@ def _asof_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(deletes, trades, "seq_num", ties=(), prefix="trade_", strict=True, tolerance=20)
 
 
+def _lives(most: str, *keys: str) -> Query:
+    return lambda spark, sf_dir: _plain_times(order_lives(_l3(spark, sf_dir), most, keys))
+
+
 def _sessions(gap: str, *keys: str, split: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         l3 = _l3(spark, sf_dir)
@@ -435,6 +441,36 @@ def _stream_sessions(gap: str) -> Query:
     return query
 
 
+def _stream_lives(most: str, *keys: str) -> Query:
+    """Lives of orders over three deliveries, and a message of no order that lets the last ones expire."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fields = [KEY_FIELD] if keys else []
+        feed = _feed(_l3(spark, sf_dir), *keys)
+        source, sink = fresh_path(spark, "arriving"), fresh_path(spark, "lives")
+        progress = fresh_path(spark, "progress")
+        end = (F.max("time") + F.expr(f"interval {most}") + F.expr("interval 1 day")).alias("time")
+        beat = feed.agg(end).select(
+            *[F.col("time") if f.name == "time" else F.lit(None).cast(f.dataType).alias(f.name) for f in feed.schema.fields]
+        )
+        parts = [*_thirds(feed), F.lit(True)]
+        for k, part in enumerate(parts):
+            (beat if k == 3 else feed).where(part).write.mode("append").parquet(source)
+            stream = read_file_stream(spark, source, T.StructType([*L3_SCHEMA.fields, *fields]), "parquet")
+            query = (
+                life_stream(stream, most, key_cols=keys)
+                .writeStream.outputMode("append")
+                .format("parquet")
+                .option("checkpointLocation", progress)
+                .trigger(availableNow=True)
+                .start(sink)
+            )
+            query.awaitTermination()
+        return _plain_times(spark.read.parquet(sink))
+
+    return query
+
+
 def _stream_windows(width: str, slide: str | None, late: bool) -> Query:
     """Windows of a watermarked stream. When ``late``, all deletes come after all else."""
 
@@ -548,6 +584,8 @@ def queries() -> dict[str, Query]:
         "asof_trade_quote": _asof(),
         "asof_trade_quote_split": _asof("10 minutes", split=True),
         "asof_delete_trade": _asof_strict,
+        "order_life": _lives("1 hour"),
+        "order_life_keyed": _lives("10 minutes", KEY),
         "l1_consolidated": _consolidated(),
         "l1_consolidated_split": _consolidated(split=True),
         "l1_window_session": _sessions("5 minutes"),
@@ -579,6 +617,8 @@ def queries() -> dict[str, Query]:
         "stream_window_corrected": _stream_corrected("1 hour", "15 minutes"),
         "stream_window_corrected_keyed": _stream_corrected("1 hour", None, keys=True),
         "stream_l1_window_session": _stream_sessions("5 minutes"),
+        "stream_order_life": _stream_lives("1 hour"),
+        "stream_order_life_keyed": _stream_lives("10 minutes", KEY),
         "stream_archive_scan": _stream_archive,
         "stream_job_window": _stream_window_job("1 hour", "15 minutes"),
         "stream_l1_window": _stream_windows("1 hour", None, late=False),

@@ -92,6 +92,18 @@ def test_levels(documents, monkeypatch):
     _check(documents, lambda s: 2000)
 
 
+def test_a_large_source_does_not_change_how_others_land(spark, monkeypatch):
+    rows = [(k, "large", "w " * (1 + k % 37)) for k in range(300)]
+    rows += [(1000 + k, s, "w " * (1 + k * k % 53)) for s in ("small", None) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    own = {}
+    for most in (1000, 25):
+        monkeypatch.setattr(mixing, "BLOCK_ROWS", most)
+        own[most] = Counter((r.doc_id, r.source, r.copies) for r in mix(docs).collect() if r.source != "large")
+    assert own[1000] == own[25]
+    _check(docs, lambda s: 37 if s == "large" else 1)
+
+
 def test_taken_rows(messy, documents, nothing):
     for docs in (messy, documents):
         copies = Counter()

@@ -4,8 +4,8 @@ A source's target over its size says how often each of its documents is taken: t
 by all, the fraction as an inclusion probability. The flight phase moves the probabilities of
 three documents at a time along the null space of the constraints (documents, tokens) until one
 of them is 0 or 1. It runs in blocks of a source; a block leaves at most two documents undecided,
-and those fly on in blocks of the next level, until one block per source is left. There the last
-two are landed: without the document constraint, then by rounding, and the tokens that rounding
+and those fly on in blocks of the next level, until one block of the source is left, whatever the size of
+the other sources. There the last two are landed: without the document constraint, then by rounding, and the tokens that rounding
 adds or takes are made good by exchanging documents taken for documents left out.
 """
 
@@ -143,20 +143,21 @@ def _step(p: list[float], at: list[int], move: tuple[float, ...], draw: float) -
         p[k] = 0.0 if x <= _EPS else 1.0 if x >= 1 - _EPS else x
 
 
-def _fly_level(units: DataFrame, level: int, most: int) -> DataFrame:
-    """One level of flight; ``most`` is the largest number of undecided units of a source."""
-    blocks = -(-most // BLOCK_ROWS)
-    last = blocks == 1
+def _fly_level(units: DataFrame, level: int, counts: DataFrame) -> DataFrame:
+    """One level of flight; a source of at most ``BLOCK_ROWS`` (``counts``) is one block, and lands."""
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["turn", "doc_id", "size"], kind="stable")
         seed = [level, int(key[1]), int(rows["turn"].iloc[0]) & (2**63 - 1)]
+        last = bool(rows["blocks"].iloc[0] == 1)
         rows["chance"] = fly(rows["chance"].to_numpy(), rows["size"].to_numpy(), np.random.default_rng(seed), last)
         return rows[names]
 
     names = units.columns
-    block = F.pmod(F.xxhash64("turn", F.lit(level)), F.lit(blocks))
-    return units.withColumn("block", block).groupBy("source", "block").applyInPandas(one, units.schema)
+    blocks = counts.select(F.col("source").alias("of_source"), F.ceil(F.col("count") / BLOCK_ROWS).alias("blocks"))
+    own = units.join(blocks, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
+    block = F.pmod(F.xxhash64("turn", F.lit(level)), F.col("blocks"))
+    return own.withColumn("block", block).groupBy("source", "block").applyInPandas(one, units.schema)
 
 
 def mix(
@@ -179,7 +180,7 @@ def mix(
     while True:
         counts = (sizes if level == 0 else units).groupBy("source").count()
         largest = counts.agg(F.max("count")).first()[0] or 0
-        flown = _fly_level(units, level, max(largest, 1))
+        flown = _fly_level(units, level, counts)
         if largest <= BLOCK_ROWS:
             done.append(flown)
             break

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from tidequote.llm.secret_scan import KINDS, find_spans, log10_guesses, mask_secrets, masked, scan_secrets
+from tidequote.llm.secret_scan import KINDS, MIN_LOG10_GUESSES, find_spans, log10_guesses, mask_secrets, masked, scan_secrets
 
 CASES = [
     "password=hunter22",
@@ -70,6 +70,31 @@ def test_values_of_one_kind_of_sign(text, value):
     assert masked(text) == text.replace(value, "[SECRET]")
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("pwd:      kQ9vX2mZ#7pLw", "kQ9vX2mZ#7pLw"),
+        ("pwd:\n\tkQ9vX2mZ#7pLw", "kQ9vX2mZ#7pLw"),
+        ("AWS_SECRET_ACCESS_KEY: wJalrXUtnFEMIK7MDENGbPxRfiCY", "wJalrXUtnFEMIK7MDENGbPxRfiCY"),
+        ("private_key: q8Zt2LxW9vBn4Kd", "q8Zt2LxW9vBn4Kd"),
+        ("pass: Xq9$kq!z2#", "Xq9$kq!z2#"),
+        ("Authorization: Bearer q8Zt2LxW9vBn4Kd", "q8Zt2LxW9vBn4Kd"),
+        ("Pwd is Kqzvxwjpmrtlbn", "Kqzvxwjpmrtlbn"),
+    ],
+)
+def test_contexts(text, value):
+    assert [text[a:b] for k, a, b in find_spans(text) if k == "guess"] == [value]
+
+
+def test_long_words_are_no_secrets():
+    for prose in ("token is straightforwardness", "auth: Characteristically", "bearer representatives", "the pass is unquestionably"):
+        assert find_spans(prose) == []
+
+
+def test_values_too_short_for_the_bound():
+    assert max(map(log10_guesses, ("X9$kq!z", "kQ#9!xZ~", "~^|{}`<>"))) < MIN_LOG10_GUESSES
+
+
 def test_words_and_easy_values_are_no_secrets():
     words = "required something important persistence generation experience different understanding SOMETHING confidential"
     for value in [*words.split(), "aaaaaaaaaaaa", "19991231", "12345678901234", "qwertyuiopasdfgh"]:

@@ -518,7 +518,7 @@ def _stream_window_job(width: str, slide: str) -> Query:
 
 
 def _stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream the feed with archiving on, then read what is archived and what is left."""
+    """Stream the feed with archiving on, a micro-batch a delivery; then read what is archived and what is left."""
     feed = _feed(_l3(spark, sf_dir))
     root = fresh_path(spark, "archiving")
     source, archive = f"{root}/in", f"{root}/done"
@@ -527,6 +527,7 @@ def _stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         output_path=f"{root}/quotes",
         checkpoint_dir=f"{root}/progress",
         input_file_format="parquet",
+        max_files_per_trigger=None,
         clean_source="archive",
         source_archive_dir=archive,
         compact_interval=2,

@@ -1,14 +1,17 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidequote.llm import minhash
+from tidequote.llm import minhash, textbytes
 from tidequote.llm.components import components, smallest_reachable
 from tidequote.llm.minhash import hash_functions, keep_one, near_duplicates
 from tidequote.llm.shingles import min_max_signatures
+from tidequote.sources.landing import land
 
 
 def _set(text, words):
@@ -141,6 +144,43 @@ def test_components(spark, shape):
         assert got == {}
 
 
+def test_rounds_of_few_links_are_few_files(spark, monkeypatch):
+    """With 24 shuffle partitions that nothing merges, only the first round has a file for each."""
+    files = []
+
+    def counted(df, name):
+        landed = land(df, name)
+        files.append((name, len(landed.inputFiles())))
+        return landed
+
+    monkeypatch.setattr("tidequote.llm.components.land", counted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        links = spark.createDataFrame([(k, k + 1) for k in range(300)], "a long, b long")
+        assert {r.component_id for r in components(links).collect()} == {0}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [n for _, n in files[1:]] == [1] * (len(files) - 1) and len(files) > 3
+
+
+def test_words_are_hashed_in_small_memory():
+    """A chunk's arrays and the powers kept are of half a megabyte of text, not of two."""
+    texts = [f"word{k} other{k % 7} " * 40 for k in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    textbytes._powers.clear()
+    tracemalloc.start()
+    got = [(rows.num_rows, word) for rows, word, _ in textbytes.words(batch)]
+    most = tracemalloc.get_traced_memory()[1] - sum(w.nbytes for _, w in got)
+    tracemalloc.stop()
+    assert most < 50 << 20
+    assert sum(p.nbytes for p in textbytes._powers.values()) <= 16 * textbytes.WORD_BYTES
+    whole = np.concatenate([w for _, w, _ in textbytes.words(batch, limit=8 << 20)])
+    assert np.array_equal(np.concatenate([w for _, w in got]), whole)
+
+
 def test_an_id_with_several_texts(spark):
     """A link goes to the text, not to whatever text its id has."""
     words = [f"w{i}" for i in range(40)]

@@ -3,7 +3,8 @@
 Each round deals the links by their larger end, joins what meets in a partition into stars around
 the smallest member, and goes on until every vertex has one parent. A vertex that is the small
 end of many links is never a key here, so big components are no hot groups. Then parents are
-doubled until they are roots. Every round is written to the shared folder.
+doubled until they are roots. Every round is written to the shared folder, from the first on by as
+many tasks as its rows call for: a round of few rows is no file for each shuffle partition.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 from tidequote.sources.landing import land
 
+ROWS_PER_TASK = 1 << 18
+
 
 def smallest_reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(vertices, the smallest vertex each is linked to, itself included)."""
@@ -50,17 +53,19 @@ def components(links: DataFrame) -> DataFrame:
     a, b = (F.col(f"`{c}`").cast("long") for c in links.columns[:2])
     edges = links.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("m"), a.alias("a"), b.alias("b"))
     edges = edges.where("a is not null and b is not null and v != m").select("v", "m")
+    dealt = edges.repartition("v")
     while True:
-        stars = land(edges.repartition("v").mapInArrow(_stars, "v long, m long"), "stars")
+        stars = land(dealt.mapInArrow(_stars, "v long, m long"), "stars")
+        tasks = max(1, -(-stars.count() // ROWS_PER_TASK))
         parents = stars.groupBy("v").agg(F.min("m").alias("m"), F.max("m").alias("other"))
         if parents.where("m != other").isEmpty():
             break
-        edges = stars
-    parents = land(parents.select("v", "m"), "parents")
+        dealt = stars.repartition("v").coalesce(tasks)
+    parents = land(parents.select("v", "m").coalesce(tasks), "parents")
     while True:
         up = parents.select(F.col("v").alias("m"), F.col("m").alias("top"))
         raised = parents.join(up, "m", "left")
         if raised.where("top is not null").isEmpty():
             break
-        parents = land(raised.select("v", F.coalesce("top", "m").alias("m")), "parents")
+        parents = land(raised.select("v", F.coalesce("top", "m").alias("m")).coalesce(tasks), "parents")
     return parents.select(F.col("v").alias("id"), F.col("m").alias("component_id"))

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 2 << 20
+WORD_BYTES = 1 << 19  # hashing words takes some 40 bytes of memory a byte of text
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -85,7 +86,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def _power(which: int, base: int, n: int) -> np.ndarray:
     have = _powers.get(which)
     if have is None or len(have) < n:
-        made = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
+        made = np.full(max(WORD_BYTES, 1 << (n - 1).bit_length()), base, np.uint64)
         made[0] = 1
         have = _powers[which] = np.multiply.accumulate(made)
     return have[:n]
@@ -101,7 +102,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(own + (ends - starts).astype(np.uint64))
 
 
-def words(batch: pa.RecordBatch, limit: int = CHUNK_BYTES):
+def words(batch: pa.RecordBatch, limit: int = WORD_BYTES):
     """For each chunk: its rows, and (64-bit word hash, text number) of its lower-cased words."""
     for rows, data, offsets in chunks(batch, limit=limit):
         data = lower_ascii(data)

@@ -10,7 +10,7 @@ import pytest
 from tidequote.llm import minhash, textbytes
 from tidequote.llm.components import components, smallest_reachable
 from tidequote.llm.minhash import hash_functions, keep_one, near_duplicates
-from tidequote.llm.shingles import min_max_signatures
+from tidequote.llm.shingles import min_max_signatures, shingle_sets
 from tidequote.sources.landing import land
 
 
@@ -172,13 +172,13 @@ def test_words_are_hashed_in_small_memory():
     batch = pa.RecordBatch.from_pydict({"text": texts})
     textbytes._powers.clear()
     tracemalloc.start()
-    got = [(rows.num_rows, word) for rows, word, _ in textbytes.words(batch)]
-    most = tracemalloc.get_traced_memory()[1] - sum(w.nbytes for _, w in got)
+    got = [flat for _, flat, _ in shingle_sets(batch, 3)]
+    most = tracemalloc.get_traced_memory()[1] - sum(f.nbytes for f in got)
     tracemalloc.stop()
     assert most < 50 << 20
     assert sum(p.nbytes for p in textbytes._powers.values()) <= 16 * textbytes.WORD_BYTES
-    whole = np.concatenate([w for _, w, _ in textbytes.words(batch, limit=8 << 20)])
-    assert np.array_equal(np.concatenate([w for _, w in got]), whole)
+    one_by_one = [flat for k in range(len(texts)) for _, flat, _ in shingle_sets(batch.slice(k, 1), 3)]
+    assert np.array_equal(np.concatenate(got), np.concatenate(one_by_one))
 
 
 def test_an_id_with_several_texts(spark):

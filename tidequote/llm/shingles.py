@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from tidequote.llm.textbytes import mixed, words
+from tidequote.llm.textbytes import WORD_BYTES, mixed, words
 
 _PLACE = np.random.Generator(np.random.PCG64(811)).integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
 
@@ -16,7 +16,7 @@ def shingle_sets(batch: pa.RecordBatch, size: int):
     A text with fewer words than ``size`` has its whole sequence as the one shingle; one
     without words has none.
     """
-    for rows, word, owner in words(batch):
+    for rows, word, owner in words(batch, WORD_BYTES):
         n = rows.num_rows
         count = np.bincount(owner, minlength=n)
         first = np.cumsum(count) - count

@@ -32,7 +32,7 @@ from tidequote.sources.events import l3_from_events
 from tidequote.sources.files import cast_to, read_csv, read_csv_text, read_file_stream
 from tidequote.sources.landing import fresh_path, land
 from tidequote.sources.quarantine import intake
-from tidequote.streaming.lives import life_stream
+from tidequote.streaming.lives import life_state, life_stream
 from tidequote.streaming.sessions import session_sink
 from tidequote.streaming.windowed import windowed_stream
 
@@ -457,14 +457,9 @@ def _stream_lives(most: str, *keys: str) -> Query:
         for k, part in enumerate(parts):
             (beat if k == 3 else feed).where(part).write.mode("append").parquet(source)
             stream = read_file_stream(spark, source, T.StructType([*L3_SCHEMA.fields, *fields]), "parquet")
-            query = (
-                life_stream(stream, most, key_cols=keys)
-                .writeStream.outputMode("append")
-                .format("parquet")
-                .option("checkpointLocation", progress)
-                .trigger(availableNow=True)
-                .start(sink)
-            )
+            lives = life_stream(stream, most, key_cols=keys).writeStream.outputMode("append").format("parquet")
+            with life_state(spark):
+                query = lives.option("checkpointLocation", progress).trigger(availableNow=True).start(sink)
             query.awaitTermination()
         return _plain_times(spark.read.parquet(sink))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +65,22 @@ def read_file_stream(
     return reader.load(path)
 
 
+@contextmanager
+def stream_settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for streams started inside the block; the session gets its own ones back."""
+    own = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in own.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 @contextmanager
 def file_log_settings(
     spark: SparkSession, cleanup_delay: int | None = None, compact_interval: int | None = None
@@ -76,15 +92,5 @@ def file_log_settings(
     """
     log = "spark.sql.streaming.fileSource.log"
     wanted = {f"{log}.cleanupDelay": cleanup_delay, f"{log}.compactInterval": compact_interval}
-    wanted = {k: v for k, v in wanted.items() if v is not None}
-    own = {k: spark.conf.get(k, None) for k in wanted}
-    try:
-        for k, v in wanted.items():
-            spark.conf.set(k, str(v))
+    with stream_settings(spark, {k: str(v) for k, v in wanted.items() if v is not None}):
         yield
-    finally:
-        for k, v in own.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -182,4 +183,8 @@ def run_stream(
     if available_now:
         writer = writer.trigger(availableNow=True)
     with file_log_settings(spark, options.cleanup_delay, options.compact_interval):
-        return writer.start()
+        query = writer.start()
+        # Sources read the session's settings after the start has returned.
+        while query.isActive and query.status["message"].startswith("Initializing"):
+            time.sleep(0.01)
+        return query

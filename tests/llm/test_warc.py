@@ -149,3 +149,27 @@ def test_members_in_small_bites(step, bite):
     assert got == [(a, b - a, c) for a, b, c in zip(ends, ends[1:], contents)]
     with pytest.raises(ValueError, match="truncated"):
         list(read_members(BytesIO(raw[2][:-4]), step, bite))
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_archives_follow_pages_not_shuffle_partitions(spark, broadcast):
+    """Pages are written by the tasks that read them: not a file, with processes to set its mode, for each shuffle partition."""
+    held = {
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": broadcast,
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": broadcast,
+    }
+    rows = [(i, f"http://h{i % 7}.org/{i}", f"page {i // 2 % 90} " * 30) for i in range(400)] + PAGES
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = archive_pages(pages).cache()
+        assert _got(got) == _want(rows)
+        if broadcast != "-1":
+            assert got.select("file").distinct().count() <= 3
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

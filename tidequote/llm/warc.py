@@ -153,7 +153,11 @@ class LoserTree:
 
 
 def with_record_types(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html, payload_digest, refers_to): refers_to is null for responses."""
+    """(page_id, url, html, payload_digest, refers_to): refers_to is null for responses.
+
+    What repeats is landed, so that Spark knows its size before the join: unless that is large, pages
+    are not shuffled, and are written by the tasks that read them, however many the shuffle's would be.
+    """
     own = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
@@ -161,7 +165,7 @@ def with_record_types(pages: DataFrame) -> DataFrame:
     ).withColumn("payload_digest", F.sha2("html", 256))
     large = own.where(F.octet_length("html") >= MIN_REVISIT_BYTES)
     first = large.groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
-    first = first.where("n > 1").drop("n")
+    first = land(first.where("n > 1").drop("n"), "repeated")
     again = F.col("page_id").isNull() | (F.col("page_id") > F.col("first_id"))
     refers_to = F.when(again, F.col("first_id"))
     return own.join(first, "payload_digest", "left").withColumn("refers_to", refers_to).drop("first_id")

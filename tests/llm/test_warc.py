@@ -173,3 +173,18 @@ def test_archives_follow_pages_not_shuffle_partitions(spark, broadcast):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_whole_pages_come_in_small_batches(spark, monkeypatch):
+    seen, wanted = {}, ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    own = [spark.conf.get(k) for k in wanted]
+
+    def landed(df, name):
+        seen[name] = [int(spark.conf.get(k)) for k in wanted]
+        return land(df, name)
+
+    monkeypatch.setattr(warc, "land", landed)
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    assert _got(archive_pages(pages)) == _want(PAGES)
+    assert max(seen["repeated"] + seen["archives"]) <= 256
+    assert [spark.conf.get(k) for k in wanted] == own

@@ -21,12 +21,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidequote.sources.files import stream_settings
 from tidequote.sources.landing import fresh_path, land
 
 MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
 ROWS_PER_RANGE = 50_000
 MAX_READ_TASKS = 1 << 15
+# whole pages are read, and sent to Python, so many at once (Spark's own: 4,096 and 10,000), from files by so many
+# bytes (8 MB): arrays of many megabytes make an executor's heap grow far beyond what it holds
+PAGE_BATCHES = {
+    "spark.sql.parquet.columnarReaderBatchSize": "256",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "parquet.read.allocation.size": str(1 << 18),
+}
 FIRST_CAPTURE = datetime(2024, 1, 1, tzinfo=UTC)
 
 _URL = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::(\d*))?([^#]*)", re.IGNORECASE)
@@ -273,7 +281,8 @@ def archive_pages(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataF
     folder = fresh_path(spark, "warc")
     files, root = pafs.FileSystem.from_uri(folder)
     files.create_dir(root, recursive=True)
-    archives = land(write_archives(with_record_types(pages), folder, archive_bytes), "archives")
+    with stream_settings(spark, PAGE_BATCHES):
+        archives = land(write_archives(with_record_types(pages), folder, archive_bytes), "archives")
     runs = land(read_runs(archives, folder), "runs")
     merged = merge_runs(runs, runs.count())
     first = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]

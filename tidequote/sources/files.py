@@ -67,7 +67,7 @@ def read_file_stream(
 
 @contextmanager
 def stream_settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
-    """Session settings for streams started inside the block; the session gets its own ones back."""
+    """Session settings for streams started or tables landed inside the block; the session gets its own ones back."""
     own = {k: spark.conf.get(k, None) for k in wanted}
     try:
         for k, v in wanted.items():

@@ -166,6 +166,52 @@ def test_rounds_of_few_links_are_few_files(spark, monkeypatch):
     assert [n for _, n in files[1:]] == [1] * (len(files) - 1) and len(files) > 3
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """24 shuffle partitions that nothing merges."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _counted(monkeypatch, modules):
+    files = []
+
+    def counted(df, name):
+        landed = land(df, name)
+        files.append((name, len(landed.inputFiles())))
+        return landed
+
+    for module in modules:
+        monkeypatch.setattr(f"tidequote.llm.{module}.land", counted)
+    return files
+
+
+def test_few_rows_are_few_files(spark, monkeypatch, many_partitions):
+    """Of 24 shuffle partitions none is a file of its own, in any step or in the result; the rows are the same."""
+    files = _counted(monkeypatch, ["minhash", "components"])
+    docs = spark.createDataFrame(_variants(5, 6, 25, 60, 5), "doc_id long, text string").coalesce(1)
+    _check(spark, docs)
+    assert {"classes", "members", "sets", "links", "stars", "open", "dealt", "more"} <= {name for name, _ in files}
+    assert {n for _, n in files} == {1}
+    assert near_duplicates(docs).rdd.getNumPartitions() == 1
+
+
+@pytest.mark.parametrize("limit", ["ROWS_PER_TASK", "SHINGLES_PER_TASK"])
+def test_more_rows_or_longer_texts_are_more_tasks(spark, monkeypatch, many_partitions, limit):
+    """Tasks follow the rows and the sizes of sets, and matches that share a task stay whole."""
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, limit, 64)
+    files = _counted(monkeypatch, ["minhash"])
+    _check(spark, spark.createDataFrame(_variants(6, 6, 25, 60, 5), "doc_id long, text string"))
+    assert dict(files)["sets"] > 8
+
+
 def test_words_are_hashed_in_small_memory():
     """A chunk's arrays and the powers kept are of half a megabyte of text, not of two."""
     texts = [f"word{k} other{k % 7} " * 40 for k in range(4000)]

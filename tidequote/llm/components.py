@@ -4,7 +4,8 @@ Each round deals the links by their larger end, joins what meets in a partition
 the smallest member, and goes on until every vertex has one parent. A vertex that is the small
 end of many links is never a key here, so big components are no hot groups. Then parents are
 doubled until they are roots. Every round is written to the shared folder, from the first on by as
-many tasks as its rows call for: a round of few rows is no file for each shuffle partition.
+many tasks as its rows call for: a round of few rows is no file for each shuffle partition. So is the
+first round of links that are landed.
 """
 
 from __future__ import annotations
@@ -45,23 +46,30 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(v[far]), pa.array(root[far])], names=["v", "m"])
 
 
-def components(links: DataFrame) -> DataFrame:
+def _tasks(rows: DataFrame) -> int:
+    return max(1, -(-rows.count() // ROWS_PER_TASK))
+
+
+def components(links: DataFrame, landed: bool = False) -> DataFrame:
     """(id, component_id) of every vertex of ``links`` (two long columns) that is not a root.
 
     ``component_id`` is the smallest id reachable. Links with a null end and loops say nothing.
+    Links that are ``landed`` are counted first, as they are cheap to read twice.
     """
     a, b = (F.col(f"`{c}`").cast("long") for c in links.columns[:2])
     edges = links.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("m"), a.alias("a"), b.alias("b"))
     edges = edges.where("a is not null and b is not null and v != m").select("v", "m")
     dealt = edges.repartition("v")
+    if landed:
+        dealt = dealt.coalesce(_tasks(edges))
     while True:
         stars = land(dealt.mapInArrow(_stars, "v long, m long"), "stars")
-        tasks = max(1, -(-stars.count() // ROWS_PER_TASK))
-        parents = stars.groupBy("v").agg(F.min("m").alias("m"), F.max("m").alias("other"))
+        tasks = _tasks(stars)
+        parents = stars.groupBy("v").agg(F.min("m").alias("m"), F.max("m").alias("other")).coalesce(tasks)
         if parents.where("m != other").isEmpty():
             break
         dealt = stars.repartition("v").coalesce(tasks)
-    parents = land(parents.select("v", "m").coalesce(tasks), "parents")
+    parents = land(parents.select("v", "m"), "parents")
     while True:
         up = parents.select(F.col("v").alias("m"), F.col("m").alias("top"))
         raised = parents.join(up, "m", "left")

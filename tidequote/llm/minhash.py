@@ -10,6 +10,9 @@
    blocks, so that no task sees more than two blocks of a bucket. Pairs whose signatures agree in
    a share of at least ``similarity - MARGIN`` (over five standard deviations below) are
    confirmed on full sets, unless both are in one component already.
+
+Shuffles are read, and tables landed, by as many tasks as the rows of the table before call for: a
+shuffle partition of a few rows is not a task and a file of its own.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ ROWS_PER_BAND = 6
 MISSED = 5e-6
 BLOCK = 1024
 MARGIN = 0.15
+ROWS_PER_TASK = 4096
+SHINGLES_PER_TASK = 1 << 20
 
 
 def hash_functions(percent: int) -> int:
@@ -63,6 +68,13 @@ def _sketches(docs: DataFrame, words: int, hashes: int) -> DataFrame:
     return own.mapInArrow(sketch, "doc_id long, text_hash long, n_shingles long, set_id binary, bands array<long>")
 
 
+def _tasks(landed: DataFrame, rows: int | None = None) -> int:
+    """Tasks for what follows from a landed table, by its rows and, where it has them, the set sizes ``n``."""
+    shingles = F.sum("n") if "n" in landed.columns else F.lit(0)
+    found = landed.agg(F.count("*").alias("rows"), shingles.alias("shingles")).first()
+    return max(1, -(-found["rows"] // (rows or ROWS_PER_TASK)), -(-(found["shingles"] or 0) // SHINGLES_PER_TASK))
+
+
 def _text_hash() -> Column:
     """Tells the texts of one id apart."""
     return F.xxhash64(F.coalesce("text", F.lit("")))
@@ -90,7 +102,7 @@ def _full_sets(texts: DataFrame, words: int, hashes: int) -> DataFrame:
     return texts.select("rep", "set_id", "text").mapInArrow(full, "rep long, members binary, signature binary")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, tasks: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union, on full sets."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,29 +115,31 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.record_batch([kept.column("a"), kept.column("b")], names=["a", "b"])
 
     # b first: a is the smallest of its bucket, so its rows are the ones that may be many
-    own = pairs.join(sets.select(F.col("rep").alias("b"), F.col("members").alias("set_b")), "b")
+    own = pairs.join(sets.select(F.col("rep").alias("b"), F.col("members").alias("set_b")), "b").coalesce(tasks)
     own = own.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("set_a")), "a")
-    return own.select("a", "b", "set_a", "set_b").mapInArrow(confirm, "a long, b long")
+    return own.select("a", "b", "set_a", "set_b").coalesce(tasks).mapInArrow(confirm, "a long, b long")
 
 
 def _across_components(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different components within buckets, confirmed on full sets.
 
-    ``open_rows`` (band, rep, component, n) holds the buckets with two components or more. Components of a block or more have blocks of their own, the others share
+    ``open_rows`` (band, rep, component, n), landed, holds the buckets with two components or more. Components of a block or more have blocks of their own, the others share
     some; a task compares two blocks, and two blocks of one component are not compared. What a
     task has linked it does not compare again, so it reports fewer links than it has rows.
     """
-    by_component = open_rows.groupBy("band", "component").agg(F.count("*").alias("size"))
+    tasks = _tasks(open_rows)
+    by_component = open_rows.groupBy("band", "component").agg(F.count("*").alias("size")).coalesce(tasks)
     pooled = F.col("size") < BLOCK
     pools = by_component.groupBy("band").agg(
         F.ceil(F.sum(F.when(pooled, F.col("size")).otherwise(0)) / BLOCK).alias("pools")
     )
-    by_component = by_component.join(pools, "band")
+    by_component = by_component.join(pools, "band").coalesce(tasks)
     many = F.when(pooled, F.col("pools")).otherwise(F.ceil(F.col("size") / BLOCK))
     salt = F.when(pooled, F.pmod(F.xxhash64("component"), many)).otherwise(F.pmod(F.xxhash64("rep"), many))
     block = F.struct(F.when(~pooled, F.col("component")).alias("of"), salt.alias("part"))
     rows = open_rows.join(by_component, ["band", "component"]).withColumn("block", block)
-    blocks = rows.select("band", "block").distinct()
+    rows = land(rows.select("band", "block", "rep", "component", "n").coalesce(tasks), "blocks")
+    blocks = rows.select("band", "block").distinct().coalesce(tasks)
     left = blocks.select("band", F.col("block").alias("left"))
     right = blocks.select("band", F.col("block").alias("right"))
     # block pairs of a bucket; a block of one component is not compared with that component's
@@ -134,17 +148,21 @@ def _across_components(open_rows: DataFrame, sets: DataFrame, percent: int) -> D
     )
     # a block that meets others is not compared with itself apart: any of its pairs does that
     matches = matches.withColumn("alone", F.count("*").over(W.partitionBy("band")) == 1)
-    matches = matches.where("alone or left < right").withColumn("match", F.xxhash64("band", "left", "right"))
+    matches = matches.where("alone or left < right").withColumn("match", F.xxhash64("band", "left", "right")).coalesce(tasks)
     ends = matches.select("band", "match", F.explode(F.array_distinct(F.array("left", "right"))).alias("block"))
-    dealt = rows.join(ends, ["band", "block"]).select("match", "rep", "component", "n")
+    dealt = land(rows.join(ends, ["band", "block"]).select("match", "rep", "component", "n").coalesce(tasks), "dealt")
+    tasks = _tasks(dealt, 2 * BLOCK)
     # full sets go only to rows that some signature is near enough to
-    near = dealt.join(sets.select("rep", "signature"), "rep").transform(_by_match, _near, percent, dealt.schema)
+    near = dealt.join(sets.select("rep", "signature"), "rep").transform(_by_match, _near, percent, dealt.schema, tasks)
     near = near.join(sets, "rep").select(*dealt.columns, "signature", "members")
-    return near.transform(_by_match, _linked, percent, "a long, b long")
+    return near.transform(_by_match, _linked, percent, "a long, b long", tasks)
 
 
-def _by_match(rows: DataFrame, function, percent: int, schema) -> DataFrame:
-    """Applies ``function`` to the rows of each match, one match after the other."""
+def _by_match(rows: DataFrame, function, percent: int, schema, tasks: int) -> DataFrame:
+    """Applies ``function`` to the rows of each match, one match after the other.
+
+    A match lies in one shuffle partition, so its rows stay together where a task reads several.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -159,7 +177,7 @@ def _by_match(rows: DataFrame, function, percent: int, schema) -> DataFrame:
         if held is not None and held.num_rows:
             yield from function(held, percent)
 
-    return rows.repartition("match").sortWithinPartitions("match").mapInArrow(run, schema)
+    return rows.repartition("match").sortWithinPartitions("match").coalesce(tasks).mapInArrow(run, schema)
 
 
 def _signatures(group: pa.Table) -> np.ndarray:
@@ -227,33 +245,37 @@ def _in_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """As ``near_duplicates``, with the ``text_hash`` of each row."""
     hashes = hash_functions(percent)
     sketches = land(_sketches(docs, words, hashes), "sketches")
+    of_docs = _tasks(sketches)
     real = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = real.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash", "n_shingles", "bands")).alias("r"))
     classes = classes.select(
         "set_id", F.monotonically_increasing_id().alias("rep"), F.col("r.n_shingles").alias("n"), "r.bands", "r.doc_id", "r.text_hash"
     )
-    classes = land(classes, "classes")  # the numbers hold once they are written
+    classes = land(classes.coalesce(of_docs), "classes")  # the numbers hold once they are written
 
     places = classes.select("rep", "n", F.explode("bands").alias("band"))
     heads = places.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("h"), F.count("*").alias("size")).where("size > 1")
     heads = heads.select("band", F.col("h.rep").alias("head"), F.col("h.n").alias("head_n"))
-    members = land(places.join(heads, "band"), "members")
+    members = land(places.join(heads, "band").coalesce(of_docs), "members")
+    tasks = _tasks(members)
     alike = F.least("n", "head_n") * 100 >= F.greatest("n", "head_n") * percent
-    stars = members.where(alike & (F.col("rep") != F.col("head"))).select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = members.where(alike & (F.col("rep") != F.col("head"))).select(F.col("head").alias("a"), F.col("rep").alias("b"))
+    stars = stars.distinct().coalesce(tasks)
 
     asked = classes.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "set_id", "doc_id", "text_hash")
+    asked = asked.coalesce(of_docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("text_hash"), "text")
-    texts = texts.join(asked, ["doc_id", "text_hash"]).dropDuplicates(["rep"])
-    sets = land(_full_sets(texts, words, hashes), "sets")
+    texts = texts.join(asked, ["doc_id", "text_hash"]).coalesce(tasks).dropDuplicates(["rep"])
+    sets = land(_full_sets(texts.coalesce(tasks), words, hashes), "sets")
 
-    links = land(_confirmed(stars, sets, percent), "links")
-    roots = components(links)
+    links = land(_confirmed(stars, sets, percent, tasks), "links")
+    roots = components(links, landed=True)
     placed = members.select("band", "rep", "n").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     placed = placed.withColumn("component", F.coalesce("component_id", "rep")).drop("component_id")
     mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_rows = placed.join(mixed.where("low < high").select("band"), "band", "left_semi")
-    more = _across_components(open_rows, sets, percent)
-    roots = components(roots.unionByName(more.toDF("id", "component_id")))
+    open_rows = land(placed.join(mixed.where("low < high").select("band"), "band", "left_semi").coalesce(tasks), "open")
+    more = land(_across_components(open_rows, sets, percent), "more")
+    roots = components(roots.unionByName(more.toDF("id", "component_id")), landed=True)
 
     joined = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "inner")
     lowest = joined.select("component_id", "doc_id").unionByName(
@@ -261,12 +283,12 @@ def _in_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
             F.col("rep").alias("component_id"), "doc_id"
         )
     )
-    lowest = lowest.groupBy("component_id").agg(F.min("doc_id").alias("low"))
+    lowest = lowest.groupBy("component_id").agg(F.min("doc_id").alias("low")).coalesce(of_docs)
     roots = roots.unionByName(lowest.select(F.col("component_id").alias("id"), "component_id")).join(lowest, "component_id")
     own = classes.select("set_id", "rep", "doc_id").join(roots.select(F.col("id").alias("rep"), "low"), "rep", "left")
-    own = own.select("set_id", F.coalesce("low", "doc_id").alias("found"))
+    own = own.select("set_id", F.coalesce("low", "doc_id").alias("found")).coalesce(of_docs)
     key = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_id"))
-    out = sketches.select("doc_id", "text_hash", "n_shingles", key.alias("set_id")).join(own, "set_id", "left")
+    out = sketches.select("doc_id", "text_hash", "n_shingles", key.alias("set_id")).join(own, "set_id", "left").coalesce(of_docs)
     component = F.coalesce("found", "doc_id")
     return out.select(
         "doc_id",
